@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from mercato.llm.near_dup import op3_near_dup
+from mercato.llm.packing import op4_packing
+from mercato.llm.sharding import op6_sharding
+from mercato.llm.tokens import op7_token_ids
 
-QUERIES = {f.__name__: f for f in (op3_near_dup,)}
+QUERIES = {f.__name__: f for f in (op3_near_dup, op4_packing, op6_sharding, op7_token_ids)}
 ORACLES: dict[str, str] = {}

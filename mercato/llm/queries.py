@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from mercato.llm.decontaminate import OP10_SQL, op10_decontamination
 from mercato.llm.near_dup import op3_near_dup
 from mercato.llm.packing import op4_packing
 from mercato.llm.sharding import op6_sharding
+from mercato.llm.simhash import op9_fingerprints
 from mercato.llm.tokens import op7_token_ids
 
-QUERIES = {f.__name__: f for f in (op3_near_dup, op4_packing, op6_sharding, op7_token_ids)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_near_dup, op4_packing, op6_sharding, op7_token_ids, op9_fingerprints, op10_decontamination)}
+ORACLES: dict[str, str] = {"op10_decontamination": OP10_SQL}

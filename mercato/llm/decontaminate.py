@@ -18,8 +18,8 @@ from mercato.llm.text_sql import NOT_WORD, ahead, joined, lower_ascii, lower_of,
 from mercato.session import cut, table
 
 WINDOW, GRAM = 10, 5
-#: Up to so many benchmark fingerprints (8 bytes each) the join is a broadcast join whose
-#: keys also filter the documents' fingerprints before they are unnested; beyond, both
+#: Up to so many benchmark windows (about 100 bytes each) the join is a broadcast join and a
+#: bitmap of their fingerprints thins the documents' before they are unnested; beyond, both
 #: sides are shuffled.
 BROADCAST_FINGERPRINTS = 50_000
 
@@ -60,13 +60,24 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return out.groupBy("fp", "window").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumn("n", F.size("window"))
 
 
+def _maybe(fp: Column, known: list[int]) -> Column:
+    """False for most fingerprints that aren't known: a bitmap of 16 to 32 bits a known one, looked up by low bits."""
+    bits = 1 << max(10, (16 * len(known)).bit_length())
+    held = [0] * (bits // 64)
+    for f in known:
+        held[(f & (bits - 1)) >> 6] |= 1 << (f & 63)
+    text = ",".join(str(x - (x >> 63 << 64)) for x in held)
+    at = fp.bitwiseAND(F.lit(bits - 1))
+    return F.getbit(F.get(F.expr(f"cast(split('{text}', ',') as array<bigint>)"), F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def _short_places(n: int, known: list[int] | None) -> Column:
     """(fp, s, around) of the n-grams in short<n>, n < 10; of the known ones if those are few."""
-    last = (F.col("n_words") - n + 1).cast("int")
-    at = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    count = F.greatest(F.col("n_words") - n + 1, F.lit(0)).cast("int")
+    at = F.transform(F.slice(f"short{n}", F.lit(1), count), lambda x, i: F.struct(x.alias("fp"), (i + 1).alias("s")))
     if known is not None:
-        at = F.filter(at, lambda s: F.get(f"short{n}", s - 1).isin(known))
-    return F.transform(at, lambda s: F.struct(F.get(f"short{n}", s - 1).alias("fp"), s.alias("s"), F.slice("h", s, F.lit(n)).alias("around")))
+        at = F.filter(at, lambda r: _maybe(r["fp"], known))
+    return F.transform(at, lambda r: F.struct(r["fp"].alias("fp"), r["s"].alias("s"), F.slice("h", r["s"], F.lit(n)).alias("around")))
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,15 +96,14 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), words(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), NOT_WORD).alias("w"))
     df = df.select("doc_id", "text_hash", F.transform("w", lambda x: F.xxhash64(x)).alias("h")).withColumn("n_words", F.size("h").cast("long"))
     df = _minima(_grams(df)).withColumn("m", F.slice("m", 1, F.greatest(F.col("n_words") - WINDOW + 1, F.lit(0)).cast("int")))
-    new = F.zip_with("m", F.concat(F.array(F.lit(None).cast("long")), F.col("m")), lambda x, p: ~x.eqNullSafe(p))
-    df = df.withColumn("new", new)
-    all_at = F.when(F.size("m") > 0, F.sequence(F.lit(1), F.size("m"))).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("starts", F.filter(all_at, lambda s: F.get("new", s - 1)))
+    # a column that a lambda reads must be read twice, else the optimizer puts its expression into the lambda
+    heads = F.transform("m", lambda x, i: F.when((i == 0) | (x != F.get("m", i - 1)), F.struct(x.alias("fp"), (i + 1).alias("s"))))
+    df = df.withColumn("heads", F.array_compact(heads))
     end = F.size("m") + 1
-    runs = F.transform("starts", lambda s, i: F.struct(s.alias("s"), F.coalesce(F.get("starts", i + 1), end).alias("e")))
+    runs = F.transform("heads", lambda r, i: F.struct(r["fp"].alias("fp"), r["s"].alias("s"), F.coalesce(F.get("heads", i + 1)["s"], end).alias("e")))
     if small:
-        runs = F.filter(runs, lambda r: F.get("m", r["s"] - 1).isin(known[WINDOW]))
-    found = F.transform(runs, lambda r: F.struct(F.get("m", r["s"] - 1).alias("fp"), r["s"].alias("s"), F.slice("h", r["s"], r["e"] - r["s"] + WINDOW - 1).alias("around")))
+        runs = F.filter(runs, lambda r: _maybe(r["fp"], known[WINDOW]))
+    found = F.transform(runs, lambda r: F.struct(r["fp"].alias("fp"), r["s"].alias("s"), F.slice("h", r["s"], r["e"] - r["s"] + WINDOW - 1).alias("around")))
     parts = [F.array(F.struct(F.lit(0).cast("long").alias("fp"), F.lit(0).alias("s"), F.array().cast("array<bigint>").alias("around"))), found]
     for n in sorted(size["short"]):
         df = df.withColumn(f"short{n}", _gram(n))

@@ -1,0 +1,151 @@
+"""Triangulation, constrained hierarchical merging, and density clusters."""
+
+from __future__ import annotations
+
+import heapq
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window, functions as F
+
+from mercato.operators.components import connected_components
+from mercato.operators.grid import grid_join
+from mercato.operators.zones import box_pairs
+from mercato.session import cut
+
+
+def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame:
+    """(town, a, b), a < b: Delaunay edges shorter than the box of +-radius.
+
+    An edge holds iff no third point lies on it and the angles opposite to it, the largest
+    on each side, sum to at most two right angles: their cotangents sum to zero or more.
+    """
+    p = points.select(group, "siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y"))
+    a = p.select(group, F.col("siteId").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    b = p.select(F.col(group).alias("__g"), F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    pairs = grid_join(a, b, radius, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a < b").drop("__g")
+    j = pairs.join(p.withColumnRenamed("siteId", "r"), group).where("r <> a and r <> b")
+    s = (F.col("bx") - F.col("ax")) * (F.col("y") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("x") - F.col("ax"))
+    d = (F.col("x") - F.col("ax")) * (F.col("x") - F.col("bx")) + (F.col("y") - F.col("ay")) * (F.col("y") - F.col("by"))
+    j = j.select(group, "a", "b", s.alias("s"), d.alias("d")).withColumn("cot", F.when(F.col("s") != 0, F.col("d") / F.nullif(F.abs("s"), F.lit(0.0))))
+    g = j.groupBy(group, "a", "b").agg(F.min(F.when(F.col("s") > 0, F.col("cot"))).alias("l"), F.min(F.when(F.col("s") < 0, F.col("cot"))).alias("r"), F.max(F.when((F.col("s") == 0) & (F.col("d") < 0), 1).otherwise(0)).alias("on"))
+    return g.where((F.col("on") == 0) & (F.col("l").isNull() | F.col("r").isNull() | (F.col("l") + F.col("r") >= 0))).select(group, "a", "b")
+
+
+def pruned(edges: DataFrame, distances: DataFrame, eps: float) -> DataFrame:
+    """Triangulation edges (a, b) whose pair distance d is under eps."""
+    return edges.join(distances, ["a", "b"]).where(F.col("d") < eps)
+
+
+def ward_tree(ids: list, values: np.ndarray, edges: list[tuple[int, int]]) -> list[tuple]:
+    """Merges (left, right, distance, size) of one component, cheapest first, only along edges.
+
+    Nodes 0 .. n-1 are the sites in the order of ids, merge k makes node n + k. Ties fall
+    to the smaller node numbers.
+    """
+    n = len(ids)
+    centre = {i: values[i].astype(float) for i in range(n)}
+    size = {i: 1 for i in range(n)}
+    near: dict[int, set[int]] = {i: set() for i in range(n)}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+
+    def dist(i: int, j: int) -> float:
+        return float(np.sqrt(2 * size[i] * size[j] / (size[i] + size[j])) * np.linalg.norm(centre[i] - centre[j]))
+
+    heap = [(dist(a, b), a, b) for a in near for b in near[a] if a < b]
+    heapq.heapify(heap)
+    out = []
+    while heap:
+        d, a, b = heapq.heappop(heap)
+        if a not in near or b not in near:
+            continue
+        m = n + len(out)
+        centre[m] = (centre[a] * size[a] + centre[b] * size[b]) / (size[a] + size[b])
+        size[m] = size[a] + size[b]
+        near[m] = (near.pop(a) | near.pop(b)) - {a, b}
+        for c in near[m]:
+            near[c] -= {a, b}
+            near[c].add(m)
+            heapq.heappush(heap, (dist(c, m), c, m))
+        out.append((a, b, d, size[m]))
+    return out
+
+
+def cut_tree(n: int, merges: list[tuple], threshold: float, most: float, least: float = 0, inclusive: bool = True) -> list[int]:
+    """Group number of each site: the smallest site index of its group.
+
+    A merge is taken iff both its parts were taken whole, d < threshold and the size is at
+    most `most` (below it if not inclusive), or if a part is smaller than `least`.
+    """
+    members: dict[int, list[int]] = {i: [i] for i in range(n)}
+    for k, (a, b, d, _) in enumerate(merges):
+        if a in members and b in members:
+            both = len(members[a]) + len(members[b])
+            fits = both <= most if inclusive else both < most
+            if (d < threshold and fits) or min(len(members[a]), len(members[b])) < least:
+                members[n + k] = members.pop(a) + members.pop(b)
+    label = [0] * n
+    for m in members.values():
+        for i in m:
+            label[i] = min(m)
+    return label
+
+
+def _components(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """points with component; ids must be numbers in column n."""
+    parts = connected_components(edges, "n0", "n1").withColumnRenamed("node", "n")
+    return points.join(parts, "n", "left").withColumn("component", F.coalesce("component", "n"))
+
+
+def constrained_ward(points: DataFrame, edges: DataFrame, attrs: list[str], threshold: float, most: float, least: float = 0, inclusive: bool = True, merges: bool = False) -> DataFrame:
+    """(n, label), or the merge list (component, seq, left, right, d, size).
+
+    points: n (long), attrs. edges: n0, n1. Each connected component is one group of
+    applyInPandas: the merge order within a component is sequential by nature, components
+    don't interact.
+    """
+    placed = cut(_components(points.select("n", *attrs), edges))
+    inner = edges.join(placed.select(F.col("n").alias("n0"), F.col("component").alias("c")), "n0").select(F.col("c").alias("component"), "n0", "n1")
+
+    def work(p: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("n").reset_index(drop=True)
+        at = {v: i for i, v in enumerate(p["n"])}
+        tree = ward_tree(list(p["n"]), p[attrs].to_numpy(float), [(at[a], at[b]) for a, b in zip(e["n0"], e["n1"]) if a != b])
+        if merges:
+            rows = [(p["component"][0], k, a, b, d, s) for k, (a, b, d, s) in enumerate(tree)]
+            return pd.DataFrame(rows, columns=["component", "seq", "left", "right", "d", "size"])
+        label = cut_tree(len(p), tree, threshold, most, least, inclusive)
+        return pd.DataFrame({"n": p["n"], "label": [p["n"][k] for k in label]})
+
+    schema = "component long, seq long, left long, right long, d double, size long" if merges else "n long, label long"
+    return placed.groupBy("component").cogroup(inner.groupBy("component")).applyInPandas(work, schema)
+
+
+def dbscan(pairs: DataFrame, points: DataFrame, samples: int = 3) -> DataFrame:
+    """(n, label): label is the smallest core of the cluster, -1 for noise; pairs (n0, n1) are the distinct neighbours, both orders, without self."""
+    count = pairs.groupBy(F.col("n0").alias("n")).agg((F.count("*") + 1).alias("c"))
+    core = points.select("n").join(count, "n", "left").where(F.coalesce("c", F.lit(1)) >= samples).select("n")
+    c0, c1 = core.select(F.col("n").alias("n0")), core.select(F.col("n").alias("n1"))
+    inner = pairs.join(c0, "n0", "left_semi").join(c1, "n1", "left_semi")
+    parts = _components(core, inner).select("n", F.col("component").alias("label"))
+    border = pairs.join(core.select(F.col("n").alias("n0")), "n0", "left_anti").join(parts.withColumnRenamed("n", "n1"), "n1").groupBy(F.col("n0").alias("n")).agg(F.min("label").alias("label"))
+    return points.select("n").join(parts.unionByName(border), "n", "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
+
+
+def two_phase(points: DataFrame, pairs: DataFrame, edges: DataFrame, attrs: list[str], samples: int = 3, large: int = 20) -> DataFrame:
+    """(n, label, sub): density clusters, those of `large` or more members split by constrained merging."""
+    first = dbscan(pairs, points, samples)
+    big = first.where("label >= 0").groupBy("label").count().where(F.col("count") >= large).select("label")
+    inside = first.join(big, "label")
+    e = edges.join(inside.select(F.col("n").alias("n0"), F.col("label").alias("l0")), "n0").join(inside.select(F.col("n").alias("n1"), F.col("label").alias("l1")), "n1").where("l0 = l1").select("n0", "n1")
+    sub = constrained_ward(points.join(inside.select("n"), "n"), e, attrs, 1.0, 100, 5, inclusive=False)
+    return first.join(sub.withColumnRenamed("label", "sub"), "n", "left").withColumn("sub", F.coalesce("sub", "label"))
+
+
+def nearest(points: DataFrame, k: int, radius: float) -> DataFrame:
+    """(a, b, rank): the k nearest others within the box of +-radius, ties by id."""
+    p = box_pairs(points, radius).where("a <> b")
+    w = Window.partitionBy("a").orderBy("d", "b")
+    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -25,7 +25,7 @@ HASHED = 1 << 16
 SAMPLE_PER_LANGUAGE = 150
 LEXICON = 300
 SEQUENCES, STEPS = 6000, 24
-KEPT_WORDS = 300_000
+KEPT_WORDS = 800_000
 UNKNOWN = "und"
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -36,16 +36,21 @@ def has_letter(word: str) -> bool:
 
 
 def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
-    """Hashed features of a word that has a letter; word is lower case."""
-    w = _EDGE.sub("", word)
-    n = len(w)
-    names = ["w" + w, *("p" + w[:k] for k in range(1, min(4, n) + 1)), *("s" + w[-k:] for k in range(1, min(4, n) + 1))]
-    b = "^" + w + "$"
-    names += ["b" + b[k : k + 2] for k in range(n + 1)]
-    names += ["t" + b[k : k + 3] for k in range(n)]
-    names += [f"l{k}" for k in lexicon.get(w, ())]
-    crc = zlib.crc32
-    return [crc(x.encode("utf-8", "surrogatepass")) % HASHED for x in names]
+    """Hashed features of a lower-case word without the signs around it; a kind of feature has its own start value."""
+    crc, b = zlib.crc32, word.encode("utf-8", "surrogatepass")
+    n = len(b)
+    e = b"^" + b + b"$"
+    out = [crc(b), *[crc(b[:k], 1) for k in range(1, min(4, n) + 1)], *[crc(b[-k:], 2) for k in range(1, min(4, n) + 1)]]
+    out += [crc(e[k : k + 2], 3) for k in range(n + 1)]
+    out += [crc(e[k : k + 3], 4) for k in range(n)]
+    if word in lexicon:
+        out += [crc(b"l", k) for k in lexicon[word]]
+    return [x % HASHED for x in out]
+
+
+def core(word: str) -> str:
+    """The word without the signs and digits around it; empty where it has no letter."""
+    return word if word.isalpha() else _EDGE.sub("", word) if has_letter(word) else ""
 
 
 @dataclass
@@ -55,8 +60,13 @@ class Crf:
     transitions: np.ndarray
     lexicon: dict[str, list[int]]
 
-    def emission(self, word: str) -> np.ndarray:
-        return self.weights[features(word, self.lexicon)].sum(0)
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """exp of the words' scores, the best label's 1."""
+        each = [features(w, self.lexicon) for w in words]
+        at = np.cumsum([0, *map(len, each)])[:-1]
+        flat = np.fromiter((x for f in each for x in f), np.int64)
+        s = np.add.reduceat(self.weights[flat], at)
+        return np.exp(np.maximum(s - s.max(1, keepdims=True), -60)).astype(np.float32)
 
 
 def train(samples: dict[str, list[list[str]]], epochs: int = 6, seed: int = 1) -> Crf:
@@ -69,7 +79,6 @@ def train(samples: dict[str, list[list[str]]], epochs: int = 6, seed: int = 1) -
         count: dict[str, int] = {}
         for d in samples[lang]:
             for w in d:
-                w = _EDGE.sub("", w)
                 count[w] = count.get(w, 0) + 1
         for w in sorted(count, key=lambda w: (-count[w], w))[:LEXICON]:
             lexicon.setdefault(w, []).append(k)
@@ -129,7 +138,7 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id") -
     samples: dict[str, list[list[str]]] = {}
     for r in sorted(some.collect(), key=lambda r: (r["lang"], r["h"] % full, r["same"])):
         held = samples.setdefault(r["lang"], [])
-        if len(held) < SAMPLE_PER_LANGUAGE and (d := [x for x in r["text"].lower().split() if has_letter(x)]):
+        if len(held) < SAMPLE_PER_LANGUAGE and (d := [c for x in r["text"].lower().split() if (c := core(x))]):
             held.append(d)
     samples = {k: v for k, v in samples.items() if v}
     return train(samples) if samples else None
@@ -144,35 +153,39 @@ class Tagger:
         self.reset()
 
     def reset(self) -> None:
-        self.rows: list[np.ndarray] = []
-        self.ids: dict[str, int] = {}
-
-    def ids_of(self, text: str) -> np.ndarray:
-        held, out = self.ids, []
-        for w in text.lower().split():
-            k = held.get(w)
-            if k is None:
-                k = -1
-                if has_letter(w):
-                    k = len(self.rows)
-                    s = self.model.emission(w)
-                    self.rows.append(np.exp(np.maximum(s - s.max(), -60)))
-                held[w] = k
-            if k >= 0:
-                out.append(k)
-        return np.array(out, np.int64)
+        self.emit = np.zeros((1024, len(self.model.languages)), np.float32)
+        self.ids: dict[str, int] = {}  # of tokens as they stand
+        self.cores: dict[str, int] = {}
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        """Rows of emit for the tokens that have a letter."""
+        ids, cores, new = self.ids, self.cores, []
+        split = [t.lower().split() for t in texts]
+        for w in set().union(*split).difference(ids):
+            c = core(w)
+            if c and c not in cores:
+                cores[c] = len(cores)
+                new.append(c)
+            ids[w] = cores[c] if c else -1
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            first = cores[some[0]]
+            while len(self.emit) < first + len(some):
+                self.emit = np.concatenate([self.emit, np.zeros_like(self.emit)])
+            self.emit[first : first + len(some)] = self.model.emissions(some)
+        rows = [np.fromiter(map(ids.__getitem__, ws), np.int64, len(ws)) for ws in split]
+        return [r[r >= 0] for r in rows]
 
     def tag(self, texts: list[str | None]) -> np.ndarray:
         """Mean label distribution of each text; zeros where no word has a letter."""
         if len(self.ids) > KEPT_WORDS:
             self.reset()
-        chains = [self.ids_of(t or "") for t in texts]
+        chains = self.ids_of([t or "" for t in texts])
         lengths = np.array([len(c) for c in chains])
         out = np.zeros((len(texts), len(self.model.languages)))
-        emit = np.array(self.rows, np.float64)
         for own in chain.grouped(lengths):
             flat, starts = chain.layout(chains, own)
-            e = emit[flat]
+            e = self.emit[flat].astype(float)
             alpha, scale = chain.forward(e, starts, np.ones(e.shape[1]), self.step)
             marginal = alpha * chain.backward(e, starts, scale, self.step)
             out[own] = chain.per_chain(marginal, starts) / lengths[own, None]
@@ -180,10 +193,10 @@ class Tagger:
 
     def words(self, text: str) -> list[tuple[str, str, float]]:
         """(word, language, probability) for each word with a letter: code-switched text."""
-        chain_ids = self.ids_of(text)
+        chain_ids = self.ids_of([text])[0]
         if not len(chain_ids):
             return []
-        e, starts = np.array(self.rows)[chain_ids], np.arange(len(chain_ids) + 1)
+        e, starts = self.emit[chain_ids].astype(float), np.arange(len(chain_ids) + 1)
         alpha, scale = chain.forward(e, starts, np.ones(e.shape[1]), self.step)
         p = alpha * chain.backward(e, starts, scale, self.step)
         named = [w for w in text.lower().split() if has_letter(w)]

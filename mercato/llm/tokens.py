@@ -24,7 +24,7 @@ from mercato.session import shared_dir, table
 
 END_ID = 0
 #: Pieces that one worker keeps; the table starts anew when it is full.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -68,9 +68,17 @@ class Encoder:
         self.model, self.pre = self.tok.model, self.tok.pre_tokenizer
         self.plain = not state["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and state["model"]["type"] == "BPE" and not state["truncation"] and not state["padding"]
         self.pieces = _Pieces(self._part)
+        self.space = self.pre.pre_tokenize_str(" a")[0][0][0] if self.plain else " "
+
+        self.letters = {c: self.pre.pre_tokenize_str(chr(c))[0][0] for c in range(0x250) if chr(c).isalpha()} if self.plain else {}
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for s, _ in self.pre.pre_tokenize_str(part) for t in self.model.tokenize(s)], "<u4").tobytes()
+        word = part[1:] if part[:1] == " " else part
+        if self.letters and word.isalpha() and max(word) < "\u0250":  # one pre-token, known without a search
+            parts = [(self.space if len(word) < len(part) else "") + word.translate(self.letters)]
+        else:
+            parts = [s for s, _ in self.pre.pre_tokenize_str(part)]
+        return np.array([t.id for s in parts for t in self.model.tokenize(s)], "<u4").tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -146,15 +154,28 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, id_col: str
         outs = {e: files.open_output_stream(f"{here}/.{name}.{own}.{e}") for e in ends}
         outs["offsets"].write(np.zeros(1, "<u8").tobytes())
         docs_n = tokens = nulls = 0
+        held: dict[str, list[bytes]] = {e: [] for e in ends}
+        size = 0
+
+        def flush() -> None:
+            for e in ends:
+                outs[e].write(b"".join(held[e]))
+                held[e].clear()
+
         for b in batches:
             for i, x in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.append(np.frombuffer(enc.encode(x.as_py() or ""), "<u4"), END_ID)
-                outs["ids"].write(ids.astype(kind).tobytes())
-                tokens += len(ids)
+                ids = np.append(np.frombuffer(enc.encode(x.as_py() or ""), "<u4"), END_ID).astype(kind).tobytes()
+                tokens += len(ids) // np.dtype(kind).itemsize
                 docs_n += 1
                 nulls += i is None
-                outs["offsets"].write(np.array([tokens], "<u8").tobytes())
-                outs["docs"].write(np.array([i or 0], "<i8").tobytes())
+                held["ids"].append(ids)
+                held["offsets"].append(tokens.to_bytes(8, "little"))
+                held["docs"].append((i or 0).to_bytes(8, "little", signed=True))
+                size += len(ids)
+                if size > 4_000_000:
+                    flush()
+                    size = 0
+        flush()
         for e in ends:
             outs[e].close()
             files.move(f"{here}/.{name}.{own}.{e}", f"{here}/{name}.{e}")

@@ -35,6 +35,14 @@ END = b"\x20"  # never a word: words hold no white space
 _END, _UNSEEN, _FIRST = 0, 1, 2  # symbols
 
 
+class _Local(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, w: bytes) -> int:
+        k = self[w] = len(self)
+        return k
+
+
 def _word_hash(w: bytes) -> int:
     h = xxhash.xxh64_intdigest(w)
     return h - (h >> 63 << 64)
@@ -56,8 +64,8 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def work(batches):
         part, k = TaskContext.get().partitionId(), 0
-        local: dict[bytes, int] = {}
-        count, tokens = np.zeros(1 << 12, np.int64), 0
+        local, tokens = _Local(), 0
+        count = np.zeros(1, np.int64)
 
         def words():
             own = list(local)
@@ -65,30 +73,32 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 w = own[at : at + 50_000]
                 yield out(len(w), block=[(part << 24) + k] * len(w), word_hash=[_word_hash(x) for x in w], local=np.arange(at, at + len(w), dtype=np.int32), **{"class": [_suffix_class(x) for x in w]}, n_train=count[at : at + len(w)])
 
+        def counted(new: list[np.ndarray]) -> np.ndarray:
+            """count with the training documents' ids added."""
+            out = np.bincount(np.concatenate([np.zeros(0, np.int32), *new]), minlength=len(local))
+            out[: len(count)] += count[: len(local)]
+            return out
+
         for b in batches:
-            ids, held, lists = [], [], []
+            ids, held, lists, trained = [], [], [], []
             for i, h, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 ws = (x.as_py() or b"").lower().split()
                 ws.append(END)
-                for w in ws:
-                    if w not in local:
-                        local[w] = len(local)
                 own = np.fromiter(map(local.__getitem__, ws), np.int32, len(ws))
-                if len(local) > len(count):
-                    count = np.concatenate([count, np.zeros(len(local), np.int64)])
                 if not h:
-                    u, n = np.unique(own, return_counts=True)
-                    count[u] += n
+                    trained.append(own)
                 ids.append(i)
                 held.append(h)
                 lists.append(own.tobytes())
                 tokens += len(ws)
                 if tokens >= BLOCK_TOKENS:
+                    count = counted(trained)
                     yield out(len(ids), block=[(part << 24) + k] * len(ids), doc_id=ids, held_out=held, ids=lists)
                     yield from words()
-                    ids, held, lists, local, k, tokens = [], [], [], {}, k + 1, 0
-                    count = np.zeros(1 << 12, np.int64)
+                    ids, held, lists, trained, local, k, tokens = [], [], [], [], _Local(), k + 1, 0
+                    count = np.zeros(1, np.int64)
             if ids:
+                count = counted(trained)
                 yield out(len(ids), block=[(part << 24) + k] * len(ids), doc_id=ids, held_out=held, ids=lists)
         if local:
             yield from words()

@@ -9,6 +9,10 @@ equi-join on these keys loses no link, and every pair is verified by its bit cou
 Equal fingerprints are collapsed before anything is joined, so a group of copies of any
 size is one row in the join.
 
+Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There several
+fingerprints of a text make a wide one: the same keys of each bring pairs together, and
+the differing bits of the wide one decide.
+
 Null and empty texts have the fingerprint zero. Repeated rows share a fingerprint; null
 ids are kept and never become a component's id unless the whole component has none. An
 empty table gives an empty result. Only the named columns are read.
@@ -21,7 +25,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercato.llm import golay
 from mercato.operators.components import connected_components
@@ -29,6 +33,8 @@ from mercato.session import cut, table
 
 SEED = 42
 _CHUNK = 1 << 16
+#: Fingerprints of a document for the estimate of its shingles' similarity.
+TABLES = 8
 _ODD = [int(x) | 1 for x in np.random.default_rng(7).integers(1 << 62, 1 << 63, 64)]
 
 
@@ -50,7 +56,7 @@ def fingerprint(text: bytes | None, width: int = 3, tables: int = 1) -> list[int
                 h2 *= np.uint64(_ODD[-t])
                 h2 ^= h2 >> np.uint64(32)
             bits = np.unpackbits((h2 if t else h).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            votes[t] += bits.sum(0, dtype=np.int64)
+            votes[t] += np.add.reduceat(bits, np.arange(0, len(bits), 255), 0, np.uint8).sum(0, dtype=np.int64)
     return [int(np.packbits(2 * v > n, bitorder="little").view(np.uint64)[0]) for v in votes]
 
 
@@ -80,6 +86,8 @@ def _segments(f: np.ndarray):
 
 
 def _keys(near: bool, tables: int):
+    """Rows (key, id, f, home): home where the key is the codeword nearest to the segment itself."""
+
     def work(batches):
         for b in batches:
             if not b.num_rows:
@@ -88,35 +96,63 @@ def _keys(near: bool, tables: int):
             for t in range(tables):
                 f = np.ascontiguousarray(b.column(1 + t).to_numpy(zero_copy_only=False)).astype(np.int64)
                 for k, exact, word in _segments(f):
-                    at, index = golay.nearby(word) if near else (np.arange(len(word)), golay.home(word))
+                    own = golay.home(word)
+                    at, index = golay.nearby(word) if near else (np.arange(len(word)), own)
                     key = ((t * 8 + k) << 28) | (exact[at] << 12) | index
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[at]), pa.array(f[at])], names=["key", "id", "f"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[at]), pa.array(f[at]), pa.array(index == own[at])], names=["key", "id", "f", "home"])
 
     return work
 
 
-def links(sketches: DataFrame, radius: int = 3, tables: int = 1, max_bits: int | None = None) -> DataFrame:
-    """(a, b), a < b: ids of sketches with `radius` (at most 3) or fewer differing bits in a table.
+_KEYED = "key long, id long, f long, home boolean"
+
 
-    sketches has id and f0 .. f<tables-1>, one row an id. With several tables a pair also
-    needs at most max_bits differing bits over all tables.
+def links(sketches: DataFrame, radius: int = 3) -> DataFrame:
+    """(a, b), a < b: ids of all sketches with `radius` (at most 3) or fewer differing bits.
+
+    sketches has id and f0, one row an id.
     """
     if radius > 3:
         raise ValueError("the pigeonhole over four blocks holds for at most 3 bits")
-    some = sketches.select("id", *(f"f{t}" for t in range(tables)))
-    one = some.mapInArrow(_keys(False, tables), "key long, id long, f long").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
-    many = some.mapInArrow(_keys(True, tables), "key long, id long, f long").select("key", F.col("id").alias("b"), F.col("f").alias("fb"))
-    found = one.join(many, "key").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius)).select("a", "b").distinct()
-    if tables > 1 and max_bits is not None:
+    some = sketches.select("id", "f0")
+    one = some.mapInArrow(_keys(False, 1), _KEYED).select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
+    many = some.mapInArrow(_keys(True, 1), _KEYED).select("key", F.col("id").alias("b"), F.col("f").alias("fb"))
+    return one.join(many, "key").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius)).select("a", "b").distinct()
+
+
+def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
+    """(a, b), a < b: links with the components of all pairs that share a key and differ in at most max_bits bits.
+
+    sketches has id and f0 .. f<tables-1>, one row an id. Two sketches share a key where one
+    block of one table is equal and a half beside it decodes to the same index for one of
+    them and nearby for the other; the whole sketches then decide. A key's sketches are
+    first compared with the least of those at home there. Sketches that link to it are in one
+    component, so of the key's other pairs only those with a sketch that didn't link are
+    compared: a group of near copies costs its size, not its square, and loses no component.
+    """
+    bits = F.aggregate(F.zip_with("all_a", "all_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    whole = sketches.select("id", F.array(*(f"f{t}" for t in range(tables))).alias("all"))
+
+    def holding(pairs: DataFrame) -> DataFrame:
         for end in ("a", "b"):
-            found = found.join(some.select(F.col("id").alias(end), F.array(*(f"f{t}" for t in range(tables))).alias(f"all_{end}")), end)
-        bits = F.aggregate(F.zip_with("all_a", "all_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        found = found.where(bits <= max_bits).select("a", "b")
-    return found
+            pairs = pairs.join(whole.select(F.col("id").alias(end), F.col("all").alias(f"all_{end}")), end)
+        return cut(pairs.where(bits <= max_bits).select("a", "b"))
+
+    keyed = sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home")
+    w = Window.partitionBy("key")
+    met = keyed.select("key", "id", "home", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).over(w).alias("lead"))
+    met = cut(met.where("n > 1 and lead is not null").select("key", "id", "home", "lead"))
+    led = holding(met.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    alone = met.where("id <> lead").join(led, (F.col("lead") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
+    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"))
+    other = met.where("id <> lead").select("key", F.col("id").alias("v"), "home")
+    ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
+    rest = holding(alone.join(other, "key").where("u <> v and (home or u_home)").select(*ends).distinct())
+    return led.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, width: int = 3, radius: int = 3, tables: int = 1, max_bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(prints, classes).
+    """(prints, classes): by `radius` over one table, or by max_bits over several.
 
     prints: doc_id, text_hash, f0.., id: one row per row of docs; id stands for the sketch.
     classes: id, component, first: one row per sketch; first is the smallest
@@ -127,7 +163,8 @@ def groups(docs: DataFrame, width: int = 3, radius: int = 3, tables: int = 1, ma
     prints = cut(fingerprints(docs, width, tables, id_col, text_col).withColumn("id", ident))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     sketches = cut(prints.groupBy("id", *names).agg(F.min(order).alias("first")))
-    parts = connected_components(links(sketches, radius, tables, max_bits), "a", "b").withColumnRenamed("node", "id")
+    found = links(sketches, radius) if max_bits is None else wide_links(sketches, tables, max_bits)
+    parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     first = classes.groupBy("component").agg(F.min("first").alias("first"))
     return prints, cut(classes.select("id", "component").join(first, "component"))
@@ -143,7 +180,7 @@ def similar_bits(similarity: float, tables: int) -> int:
     return math.floor(64 * tables * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def deduplicate(docs: DataFrame, width: int = 5, tables: int = 4, similarity: float = 0.8) -> DataFrame:
+def deduplicate(docs: DataFrame, width: int = 5, tables: int = TABLES, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest (doc_id, text hash), nulls last.
 
     Columns stay as they are; of repeated rows (one id, one text) one stays.

@@ -85,3 +85,50 @@ def test_deduplicate_keeps_one(spark):
     assert out.columns == ["doc_id", "text", "id"]
     ids = [x.doc_id for x in out.collect()]
     assert sorted(i for i in ids if i is not None) == [4 * g for g in range(10)] and ids.count(None) == 1
+
+
+def test_wide_links_have_the_components_of_all_pairs(spark):
+    """Crowded keys: a chain of near texts, so that a key's least sketch links to some of its sketches alone."""
+    r = random.Random(4)
+    rows = []
+    for _ in range(5):
+        ws = ["w%d" % r.randrange(10**6) for _ in range(150)]
+        for k in range(40):
+            ws[r.randrange(150)] = "n%d" % r.randrange(10**6)
+            rows.append(" ".join(ws))
+    tables, most = 4, near_dup.similar_bits(0.8, 4)
+    prints = [near_dup.fingerprint(t.encode(), 5, tables) for t in rows]
+    frame = spark.createDataFrame([(i, *(x - (x >> 63 << 64) for x in p)) for i, p in enumerate(prints)], "id long, f0 long, f1 long, f2 long, f3 long")
+    got = {tuple(x) for x in near_dup.wide_links(frame, tables, most).collect()}
+    sides = []
+    for near in (False, True):
+        keys = [set() for _ in prints]
+        for b in near_dup._keys(near, tables)([_arrow(prints, tables)]):
+            for key, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                keys[i].add(key)
+        sides.append(keys)
+    d = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b]))
+    n = range(len(prints))
+    want = {(a, b) for a in n for b in n if a < b and d(a, b) <= most and (sides[0][a] & sides[1][b] or sides[1][a] & sides[0][b])}
+    assert got <= want and len(got) < len(want)
+    assert _components(got, n) == _components(want, n)
+    assert near_dup.wide_links(frame.limit(0), tables, most).count() == 0
+
+
+def _arrow(prints, tables):
+    import pyarrow as pa
+
+    cols = [np.array([p[t] for p in prints], np.uint64).view(np.int64) for t in range(tables)]
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(len(prints))), *map(pa.array, cols)], names=["id", *(f"f{t}" for t in range(tables))])
+
+
+def _components(pairs, nodes):
+    low = {i: i for i in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in pairs:
+            m = min(low[a], low[b])
+            moved = moved or low[a] != m or low[b] != m
+            low[a] = low[b] = m
+    return low

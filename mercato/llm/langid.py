@@ -10,7 +10,7 @@ language has the largest mean, which is its score.
 from __future__ import annotations
 
 import re
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,23 +29,53 @@ KEPT_WORDS = 800_000
 UNKNOWN = "und"
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
+_MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1_000_003)
 
 
 def has_letter(word: str) -> bool:
     return _LETTER.search(word) is not None
 
 
-def features(word: str, lexicon: dict[str, list[int]]) -> list[int]:
-    """Hashed features of a lower-case word without the signs around it; a kind of feature has its own start value."""
-    crc, b = zlib.crc32, word.encode("utf-8", "surrogatepass")
-    n = len(b)
-    e = b"^" + b + b"$"
-    out = [crc(b), *[crc(b[:k], 1) for k in range(1, min(4, n) + 1)], *[crc(b[-k:], 2) for k in range(1, min(4, n) + 1)]]
-    out += [crc(e[k : k + 2], 3) for k in range(n + 1)]
-    out += [crc(e[k : k + 3], 4) for k in range(n)]
-    if word in lexicon:
-        out += [crc(b"l", k) for k in lexicon[word]]
-    return [x % HASHED for x in out]
+def _fold(h: np.ndarray, kind: int) -> np.ndarray:
+    """64-bit values to feature numbers; each kind of feature has its own place."""
+    h = (h ^ (h >> np.uint64(32))) + np.uint64(kind << 40)
+    return ((h * _MIX) >> np.uint64(64 - HASHED.bit_length() + 1)).astype(np.int64)
+
+
+def features(words: list[str], lexicon: dict[str, list[int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(owner, feature numbers) by kind of feature; owners ascend. Words are lower-case, without the signs around them, and not empty."""
+    if not words:
+        return
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    n = np.array([len(b) for b in raw])
+    all_of = np.arange(len(words))
+    flat = np.frombuffer(b"^" + b"$^".join(raw) + b"$", np.uint8).astype(np.uint64)
+    end = np.cumsum(n + 2) - 1  # of each word's $
+    first = end - n
+    eight = np.uint64(8)
+    two = (flat[:-1] << eight) | flat[1:]
+    three = (two[:-1] << eight) | flat[2:]
+    keep = np.ones(len(flat), bool)
+    keep[end] = False
+    yield np.repeat(all_of, n + 1), _fold(two[keep[:-1]], 3)
+    keep[end - 1] = False
+    yield np.repeat(all_of, n), _fold(three[keep[:-2]], 4)
+    power = np.cumprod(np.full(n.max(), _BASE, np.uint64))
+    inner = np.ones(len(flat), bool)
+    inner[end] = inner[first - 1] = False
+    owner = np.repeat(all_of, n)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    yield all_of, _fold(np.add.reduceat(flat[inner] * power[place], np.cumsum(n) - n), 0)
+    head = tail = np.zeros(len(words), np.uint64)
+    for k in range(4):  # affixes of one to four bytes
+        own = np.flatnonzero(n > k)
+        head, tail = head.copy(), tail.copy()
+        head[own] = (head[own] << eight) | flat[first[own] + k]
+        tail[own] = (tail[own] << eight) | flat[end[own] - 1 - k]
+        yield own, _fold(head[own], 5 + k)
+        yield own, _fold(tail[own], 9 + k)
+    listed = [(i, k) for i, w in enumerate(words) if w in lexicon for k in lexicon[w]]
+    yield np.array([i for i, _ in listed], np.int64), _fold(np.array([k for _, k in listed], np.uint64), 13)
 
 
 def core(word: str) -> str:
@@ -62,10 +92,11 @@ class Crf:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """exp of the words' scores, the best label's 1."""
-        each = [features(w, self.lexicon) for w in words]
-        at = np.cumsum([0, *map(len, each)])[:-1]
-        flat = np.fromiter((x for f in each for x in f), np.int64)
-        s = np.add.reduceat(self.weights[flat], at)
+        s = np.zeros((len(words), len(self.languages)), np.float32)
+        for owner, found in features(words, self.lexicon):
+            if len(owner):
+                starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                s[owner[starts]] += np.add.reduceat(self.weights[found], starts)
         return np.exp(np.maximum(s - s.max(1, keepdims=True), -60)).astype(np.float32)
 
 
@@ -84,11 +115,11 @@ def train(samples: dict[str, list[list[str]]], epochs: int = 6, seed: int = 1) -
             lexicon.setdefault(w, []).append(k)
     ids: dict[str, int] = {}
     docs = [[np.array([ids.setdefault(w, len(ids)) for w in d], np.int64) for d in samples[lang] if d] for lang in langs]
-    feats = [features(w, lexicon) for w in ids]
-    wide = max(map(len, feats), default=1)
-    pad = np.full((len(feats), wide), HASHED)
-    for i, f in enumerate(feats):
-        pad[i, : len(f)] = f
+    owner, found = (np.concatenate(x) for x in zip(*features(list(ids), lexicon)))
+    order, each = np.argsort(owner, kind="stable"), np.bincount(owner)
+    wide = int(each.max())
+    pad = np.full((len(ids), wide), HASHED)
+    pad[owner[order], np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)] = found[order]
     words, labels = np.zeros((2, SEQUENCES, STEPS), np.int64)
     for s in range(SEQUENCES):  # spans of one to three languages
         cuts = sorted(rng.choice(np.arange(2, STEPS - 1), rng.integers(0, 3), replace=False)) if n > 1 else []

@@ -103,3 +103,22 @@ def test_baum_welch_raises_likelihood_and_is_a_distribution(spark):
     assert np.allclose(model.emit.sum(0), 1) and np.allclose(model.step.sum(1), 1) and np.isclose(model.start.sum(), 1)
     two = [np.array([a, b], "<u2") for a in range(14) for b in range(14)]
     assert np.isclose((10 ** model.scores(two)).sum(), 1)
+
+
+def test_features_are_those_of_each_word_alone():
+    words, lexicon = ["a", "élan", "word" * 9, "ab", "a", "\ud800x"], {"ab": [0, 2], "a": [1]}
+
+    def by_word(some):
+        out = [[] for _ in some]
+        for owner, found in langid.features(some, lexicon):
+            assert (np.diff(owner) >= 0).all() and ((0 <= found) & (found < langid.HASHED)).all()
+            for i, x in zip(owner, found):
+                out[i].append(int(x))
+        return out
+
+    got = by_word(words)
+    assert got == [by_word([w])[0] for w in words] and got[0] == got[4]
+    for w, x in zip(words, got):
+        n = len(w.encode("utf-8", "surrogatepass"))
+        assert len(x) == n + 1 + n + 1 + 2 * min(4, n) + len(lexicon.get(w, []))
+    assert list(langid.features([], lexicon)) == []

@@ -35,6 +35,8 @@ SEED = 42
 _CHUNK = 1 << 16
 #: Fingerprints of a document for the estimate of its shingles' similarity.
 TABLES = 8
+#: Up to so many sketches with a link (16 bytes each) their components are broadcast.
+BROADCAST_NODES = 500_000
 _ODD = [int(x) | 1 for x in np.random.default_rng(7).integers(1 << 62, 1 << 63, 64)]
 
 
@@ -127,8 +129,9 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     block of one table is equal and a half beside it decodes to the same index for one of
     them and nearby for the other; the whole sketches then decide. A key's sketches are
     first compared with the least of those at home there. Sketches that link to it are in one
-    component, so of the key's other pairs only those with a sketch that didn't link are
-    compared: a group of near copies costs its size, not its square, and loses no component.
+    component, so of the key's other pairs only those with a sketch that didn't link, and of
+    two different components of the links so far, are compared: no component is lost. The
+    first links are returned as stars of their components.
     """
     bits = F.aggregate(F.zip_with("all_a", "all_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     whole = sketches.select("id", F.array(*(f"f{t}" for t in range(tables))).alias("all"))
@@ -143,12 +146,18 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     met = keyed.select("key", "id", "home", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).over(w).alias("lead"))
     met = cut(met.where("n > 1 and lead is not null").select("key", "id", "home", "lead"))
     led = holding(met.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    alone = met.where("id <> lead").join(led, (F.col("lead") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
-    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"))
-    other = met.where("id <> lead").select("key", F.col("id").alias("v"), "home")
+    parts = cut(connected_components(led, "a", "b"))
+    own = F.broadcast(parts) if parts.count() <= BROADCAST_NODES else parts
+    named = met.where("id <> lead").join(own, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
+    # the lead is in its key's comparison already: a key whose sketches are all in one part has nothing to add
+    named = named.withColumns({"low": F.min("part").over(w), "high": F.max("part").over(w)}).where("low <> high")
+    alone = named.join(led, (F.col("lead") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
+    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"), F.col("part").alias("u_part"))
+    other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"))
     ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
-    rest = holding(alone.join(other, "key").where("u <> v and (home or u_home)").select(*ends).distinct())
-    return led.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").select(*ends).distinct())
+    stars = parts.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return stars.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, width: int = 3, radius: int = 3, tables: int = 1, max_bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -130,8 +130,7 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     them and nearby for the other; the whole sketches then decide. A key's sketches are
     first compared with the least of those at home there. Sketches that link to it are in one
     component, so of the key's other pairs only those with a sketch that didn't link, and of
-    two different components of the links so far, are compared: no component is lost. The
-    first links are returned as stars of their components.
+    two different components of the links so far, are compared: no component is lost.
     """
     bits = F.aggregate(F.zip_with("all_a", "all_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     whole = sketches.select("id", F.array(*(f"f{t}" for t in range(tables))).alias("all"))
@@ -156,8 +155,7 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"))
     ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
     rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").select(*ends).distinct())
-    stars = parts.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return stars.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return led.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, width: int = 3, radius: int = 3, tables: int = 1, max_bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

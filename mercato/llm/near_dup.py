@@ -9,9 +9,9 @@ equi-join on these keys loses no link, and every pair is verified by its bit cou
 Equal fingerprints are collapsed before anything is joined, so a group of copies of any
 size is one row in the join.
 
-Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There several
-fingerprints of a text make a wide one: the same keys of each bring pairs together, and
-the differing bits of the wide one decide.
+Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There bands of
+MinHash values bring pairs together, and the exact Jaccard similarity of their sets of
+shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
 
 Null and empty texts have the fingerprint zero. Repeated rows share a fingerprint; null
 ids are kept and never become a component's id unless the whole component has none. An
@@ -21,6 +21,7 @@ empty table gives an empty result. Only the named columns are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,10 @@ _CHUNK = 1 << 16
 TABLES = 8
 #: Up to so many sketches with a link (16 bytes each) their components are broadcast.
 BROADCAST_NODES = 500_000
+#: MinHash bands of a document and values in a band. A pair of similarity s shares no band with probability (1 - s^ROWS)^BANDS: 5e-8 at 0.8.
+BANDS, ROWS = 32, 4
 _ODD = [int(x) | 1 for x in np.random.default_rng(7).integers(1 << 62, 1 << 63, 64)]
+_MIX, _ADD = np.random.default_rng(11).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64, endpoint=False) | np.uint64(1)
 
 
 def fingerprint(text: bytes | None, width: int = 3, tables: int = 1) -> list[int]:
@@ -75,6 +79,55 @@ def fingerprints(docs: DataFrame, width: int = 3, tables: int = 1, id_col: str =
     return some.mapInArrow(work, "doc_id long, text_hash long, " + ", ".join(f"f{t} long" for t in range(tables)))
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h * np.uint64(_ODD[0])
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(_ODD[1])
+    return h ^ (h >> np.uint64(29))
+
+
+def shingles(text: bytes | None, width: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; fewer than `width` words are one shingle."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    n = max(1, len(words) - width + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(min(width, len(words))):
+        out = _mixed(out + h[k : k + n])
+    return np.unique(out)
+
+
+def bands(some: np.ndarray) -> np.ndarray:
+    """One key a band: a hash of its MinHash values and its number. Nothing for no shingles."""
+    if not len(some):
+        return np.empty(0, np.uint64)
+    least = np.min([(some[at : at + 256, None] * _MIX + _ADD).min(0) for at in range(0, len(some), 256)], axis=0).reshape(BANDS, ROWS)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for r in range(ROWS):
+        key = _mixed(key + least[:, r])
+    return key
+
+
+def shingle_sets(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, id, bands, shingles): id stands for the set of shingles."""
+
+    def lists(arrays):
+        ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64)))
+
+    def work(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                sets = [shingles(x.as_py(), width) for x in b.column(2)]
+                ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids), lists([bands(s) for s in sets]), lists(sets)], names=["doc_id", "text_hash", "id", "bands", "shingles"])
+
+    some = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("b"))
+    return some.mapInArrow(work, "doc_id long, text_hash long, id long, bands array<long>, shingles array<long>")
+
+
 def _segments(f: np.ndarray):
     """(number, exact block, 23-bit word) of the eight ways to cut a fingerprint."""
     f = f.view(np.uint64)
@@ -127,10 +180,7 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
 
     sketches has id and f0 .. f<tables-1>, one row an id. Two sketches share a key where one
     block of one table is equal and a half beside it decodes to the same index for one of
-    them and nearby for the other; the whole sketches then decide. A key's sketches are
-    first compared with the least of those at home there. Sketches that link to it are in one
-    component, so of the key's other pairs only those with a sketch that didn't link, and of
-    two different components of the links so far, are compared: no component is lost.
+    them and nearby for the other; the whole sketches then decide.
     """
     bits = F.aggregate(F.zip_with("all_a", "all_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     whole = sketches.select("id", F.array(*(f"f{t}" for t in range(tables))).alias("all"))
@@ -140,7 +190,34 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
             pairs = pairs.join(whole.select(F.col("id").alias(end), F.col("all").alias(f"all_{end}")), end)
         return cut(pairs.where(bits <= max_bits).select("a", "b"))
 
-    keyed = sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home")
+    return _linked(sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home"), holding)
+
+
+def jaccard_links(sketches: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: links with the components of all pairs that share a band and whose sets have at least this Jaccard similarity.
+
+    sketches has id and bands, sets has id and shingles, one row an id each.
+    """
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    n, m = F.size("set_a"), F.size("set_b")
+
+    def holding(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("shingles").alias(f"set_{end}")), end)
+        # the sizes alone bound the similarity from above
+        return cut(pairs.where((F.least(n, m) / F.greatest(n, m) >= similarity) & (both / (n + m - both) >= similarity)).select("a", "b"))
+
+    return _linked(sketches.select(F.explode("bands").alias("key"), "id", F.lit(True).alias("home")), holding)
+
+
+def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b), a < b: of the pairs that share a key, one of them at home there, links with the components of those that `holding` keeps.
+
+    A key's sketches are first compared with the least of those at home there. Sketches that
+    link to it are in one component, so of the key's other pairs only those with a sketch
+    that didn't link, and of two different components of the links so far, are compared: no
+    component is lost.
+    """
     w = Window.partitionBy("key")
     met = keyed.select("key", "id", "home", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).over(w).alias("lead"))
     met = cut(met.where("n > 1 and lead is not null").select("key", "id", "home", "lead"))
@@ -187,12 +264,30 @@ def similar_bits(similarity: float, tables: int) -> int:
     return math.floor(64 * tables * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def deduplicate(docs: DataFrame, width: int = 5, tables: int = TABLES, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component, first) as groups gives them, for sets of shingles of at least this Jaccard similarity."""
+    prints = cut(shingle_sets(docs, width))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("bands").alias("bands")))
+    shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    met = cut(sketches.join(shared.where("n > 1").select("id").distinct(), "id"))
+    # of copies one row's set is read: that of the first
+    want = met.select(F.col("id").alias("__id"), F.col("first.doc_id").alias("__doc"), F.col("first.text_hash").alias("__hash"))
+    on = (prints["id"] == want["__id"]) & prints["doc_id"].eqNullSafe(want["__doc"]) & (prints["text_hash"] == want["__hash"])
+    sets = cut(prints.join(want, on).select("id", "shingles").dropDuplicates(["id"]))
+    found = jaccard_links(met, sets, similarity)
+    parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
+    classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    first = classes.groupBy("component").agg(F.min("first").alias("first"))
+    return cut(classes.select("id", "component").join(first, "component"))
+
+
+def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest (doc_id, text hash), nulls last.
 
     Columns stay as they are; of repeated rows (one id, one text) one stays.
     """
-    _, classes = groups(docs, width, 3, tables, similar_bits(similarity, tables))
+    classes = similar_groups(docs, width, similarity)
     kept = classes.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")).distinct()
     marked = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
     on = marked["__id"].eqNullSafe(kept["__id"]) & (marked["__hash"] == kept["__hash"])

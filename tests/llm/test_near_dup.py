@@ -132,3 +132,24 @@ def _components(pairs, nodes):
             moved = moved or low[a] != m or low[b] != m
             low[a] = low[b] = m
     return low
+
+
+def test_deduplicate_against_brute_force_jaccard(spark):
+    """Pairs around 0.8, on both sides: texts of 100 to 300 words of which some in a row are others."""
+    r = random.Random(9)
+    rows = []
+    for _ in range(120):
+        ws = ["w%d" % r.randrange(10**6) for _ in range(r.randrange(100, 300))]
+        rows.append(" ".join(ws))
+        for _ in range(2):
+            n = r.randrange(len(ws) // 25, len(ws) // 6)
+            at = r.randrange(len(ws) - n)
+            rows.append(" ".join([*ws[:at], *("n%d" % r.randrange(10**6) for _ in range(n)), *ws[at + n :]]))
+    rows += ["a b c", "A  b C", "a b d", ""]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in rows)]
+    n = range(len(rows))
+    near = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in n for b in n if a < b}
+    links = [p for p, s in near.items() if s >= 0.8]
+    assert sum(0.8 <= s < 0.85 for s in near.values()) > 20 and sum(0.75 <= s < 0.8 for s in near.values()) > 20
+    out = near_dup.deduplicate(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    assert {x.doc_id for x in out.collect()} == set(_components(links, n).values())

@@ -10,8 +10,9 @@ Equal fingerprints are collapsed before anything is joined, so a group of copies
 size is one row in the join.
 
 Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There bands of
-MinHash values bring pairs together, and the exact Jaccard similarity of their sets of
-shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
+MinHash values tell which texts have a partner at all, the rarest shingles of these (a
+prefix that similar sets must share) bring pairs together, and the exact Jaccard
+similarity of their sets of shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
 
 Null and empty texts have the fingerprint zero. Repeated rows share a fingerprint; null
 ids are kept and never become a component's id unless the whole component has none. An
@@ -26,7 +27,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.llm import golay
 from mercato.operators.components import connected_components
@@ -190,13 +191,28 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
             pairs = pairs.join(whole.select(F.col("id").alias(end), F.col("all").alias(f"all_{end}")), end)
         return cut(pairs.where(bits <= max_bits).select("a", "b"))
 
-    return _linked(sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home"), holding)
+    keyed = sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home", F.lit(0).alias("of"))
+    return _linked(keyed, holding, lambda u, v: F.lit(True))
 
 
-def jaccard_links(sketches: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b), a < b: links with the components of all pairs that share a band and whose sets have at least this Jaccard similarity.
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, id, of): the shingles of the prefix of each set that another set has too; of is the set's size and the place in it.
 
-    sketches has id and bands, sets has id and shingles, one row an id each.
+    Places are in the order of how many sets have the shingle, rare ones first. Of two sets
+    of this Jaccard similarity or more the first shingle in common is in both prefixes.
+    """
+    every = sets.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("key"))
+    shared = every.join(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+    w = Window.partitionBy("id")
+    place = F.col("size") - F.count("*").over(w) + F.row_number().over(w.orderBy("n", "key")) - 1
+    held = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
+    return held.select("key", "id", F.struct("size", "place").alias("of"))
+
+
+def jaccard_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: links with the components of all pairs whose sets have at least this Jaccard similarity.
+
+    sets has id and shingles, one row an id.
     """
     both = F.size(F.array_intersect("set_a", "set_b"))
     n, m = F.size("set_a"), F.size("set_b")
@@ -204,34 +220,38 @@ def jaccard_links(sketches: DataFrame, sets: DataFrame, similarity: float) -> Da
     def holding(pairs: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("shingles").alias(f"set_{end}")), end)
-        # the sizes alone bound the similarity from above
-        return cut(pairs.where((F.least(n, m) / F.greatest(n, m) >= similarity) & (both / (n + m - both) >= similarity)).select("a", "b"))
+        return cut(pairs.where(both / (n + m - both) >= similarity).select("a", "b"))
+
+    def may(u: Column, v: Column) -> Column:
+        """False where the first shingle in common is so late that too few can follow, or one set is too small."""
+        most = F.least(u["size"] - u["place"], v["size"] - v["place"])
+        return most >= (u["size"] + v["size"]) * (similarity / (1 + similarity)) - 1e-9
 
-    return _linked(sketches.select(F.explode("bands").alias("key"), "id", F.lit(True).alias("home")), holding)
+    return _linked(prefixes(sets, similarity).select("key", "id", F.lit(True).alias("home"), "of"), holding, may)
 
 
-def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(a, b), a < b: of the pairs that share a key, one of them at home there, links with the components of those that `holding` keeps.
+def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame], may: Callable[[Column, Column], Column]) -> DataFrame:
+    """(a, b), a < b: of the pairs that share a key, one of them at home there, and may(of, of) is true, links with the components of those that `holding` keeps.
 
-    A key's sketches are first compared with the least of those at home there. Sketches that
+    A key's sketches are first compared with one of those at home there, chosen by hash. Sketches that
     link to it are in one component, so of the key's other pairs only those with a sketch
     that didn't link, and of two different components of the links so far, are compared: no
     component is lost.
     """
     w = Window.partitionBy("key")
-    met = keyed.select("key", "id", "home", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.col("id"))).over(w).alias("lead"))
-    met = cut(met.where("n > 1 and lead is not null").select("key", "id", "home", "lead"))
-    led = holding(met.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    met = keyed.select("key", "id", "home", "of", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.struct(F.xxhash64("key", "id"), "id", "of"))).over(w).alias("least"))
+    met = cut(met.where("n > 1 and least is not null").select("key", "id", "home", "of", F.col("least.id").alias("lead"), F.col("least.of").alias("lead_of")))
+    led = holding(met.where("id <> lead").where(may(F.col("of"), F.col("lead_of"))).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
     parts = cut(connected_components(led, "a", "b"))
     own = F.broadcast(parts) if parts.count() <= BROADCAST_NODES else parts
     named = met.where("id <> lead").join(own, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
     # the lead is in its key's comparison already: a key whose sketches are all in one part has nothing to add
     named = named.withColumns({"low": F.min("part").over(w), "high": F.max("part").over(w)}).where("low <> high")
     alone = named.join(led, (F.col("lead") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
-    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"), F.col("part").alias("u_part"))
-    other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"))
+    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"), F.col("part").alias("u_part"), F.col("of").alias("u_of"))
+    other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"), F.col("of").alias("v_of"))
     ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
-    rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").select(*ends).distinct())
+    rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").where(may(F.col("u_of"), F.col("v_of"))).select(*ends).distinct())
     return led.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -270,12 +290,12 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("bands").alias("bands")))
     shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    met = cut(sketches.join(shared.where("n > 1").select("id").distinct(), "id"))
+    met = sketches.join(shared.where("n > 1").select("id").distinct(), "id")
     # of copies one row's set is read: that of the first
     want = met.select(F.col("id").alias("__id"), F.col("first.doc_id").alias("__doc"), F.col("first.text_hash").alias("__hash"))
     on = (prints["id"] == want["__id"]) & prints["doc_id"].eqNullSafe(want["__doc"]) & (prints["text_hash"] == want["__hash"])
     sets = cut(prints.join(want, on).select("id", "shingles").dropDuplicates(["id"]))
-    found = jaccard_links(met, sets, similarity)
+    found = jaccard_links(sets, similarity)
     parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     first = classes.groupBy("component").agg(F.min("first").alias("first"))

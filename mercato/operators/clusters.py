@@ -8,9 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from mercato.functions.scalars import distance
 from mercato.operators.components import connected_components
 from mercato.operators.grid import grid_join
-from mercato.operators.zones import box_pairs
 from mercato.session import cut
 
 
@@ -145,7 +145,22 @@ def two_phase(points: DataFrame, pairs: DataFrame, edges: DataFrame, attrs: list
 
 
 def nearest(points: DataFrame, k: int, radius: float) -> DataFrame:
-    """(a, b, rank): the k nearest others within the box of +-radius, ties by id."""
-    p = box_pairs(points, radius).where("a <> b")
-    w = Window.partitionBy("a").orderBy("d", "b")
-    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """(a, b, d, rank): the k nearest others of each point, ties by id.
+
+    The search begins in the box of +-radius. Points with fewer than k others within radius
+    are tried again with a doubled one, until it spans all points.
+    """
+    place = lambda a, x, y: points.select(F.col("siteId").alias(a), F.col("xx").cast("double").alias(x), F.col("yy").cast("double").alias(y))
+    done, left, others = None, place("a", "ax", "ay"), place("b", "bx", "by")
+    span = others.agg(F.greatest(F.max("bx") - F.min("bx"), F.max("by") - F.min("by"))).first()[0] or 0.0
+    w = Window.partitionBy("a")
+    while True:
+        p = grid_join(left, others, radius, "ax", "ay", "bx", "by").where("a <> b").select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
+        p = p.withColumns({"rank": F.row_number().over(w.orderBy("d", "b")), "n": F.count(F.when(F.col("d") <= radius, 1)).over(w)})
+        best = p.where((F.col("rank") <= k) & ((F.col("n") >= k) | F.lit(radius >= span)))
+        best = cut(best.select("a", "b", "d", "rank"))
+        done = best if done is None else done.unionByName(best)
+        left = cut(left.join(best.select("a"), "a", "left_anti"))
+        if radius >= span or left.isEmpty():
+            return done
+        radius *= 2

@@ -91,3 +91,13 @@ def test_osm(spark, tmp_path):
     (tmp_path / "r2.json").write_text("not json")
     nodes, ways = psv.read_osm(spark, f"{tmp_path}/r*.json")
     assert nodes.count() == 1 and [tuple(x) for x in ways.collect()] == [(9, "primary", True, [1, 2])]
+
+
+def test_nearest_in_thin_areas(spark):
+    r = random.Random(6)
+    pts = [(i, r.randrange(100), r.randrange(100)) for i in range(20)] + [(20 + i, 3000 * (i + 1), 700 * i) for i in range(6)]
+    want = {(a, b, k + 1) for a, x, y in pts for k, (_, b) in enumerate(sorted(((x - u) ** 2 + (y - v) ** 2, b) for b, u, v in pts if b != a)[:4])}
+    frame = spark.createDataFrame(pts, "siteId long, xx long, yy long")
+    assert {(x.a, x.b, x.rank) for x in clusters.nearest(frame, 4, 400.0).collect()} == want
+    few = clusters.nearest(frame.where("siteId >= 23"), 4, 400.0).collect()
+    assert len(few) == 6 and clusters.nearest(frame.limit(0), 4, 400.0).count() == 0

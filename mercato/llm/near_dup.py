@@ -286,15 +286,16 @@ def similar_bits(similarity: float, tables: int) -> int:
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component, first) as groups gives them, for sets of shingles of at least this Jaccard similarity."""
-    prints = cut(shingle_sets(docs, width))
+    prints = cut(shingle_sets(docs, width).drop("shingles"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("bands").alias("bands")))
     shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
     met = sketches.join(shared.where("n > 1").select("id").distinct(), "id")
-    # of copies one row's set is read: that of the first
-    want = met.select(F.col("id").alias("__id"), F.col("first.doc_id").alias("__doc"), F.col("first.text_hash").alias("__hash"))
-    on = (prints["id"] == want["__id"]) & prints["doc_id"].eqNullSafe(want["__doc"]) & (prints["text_hash"] == want["__hash"])
-    sets = cut(prints.join(want, on).select("id", "shingles").dropDuplicates(["id"]))
+    # the sets, larger than the texts, are made again for those with a partner, of copies for the first
+    want = cut(met.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")))
+    want = F.broadcast(want) if want.count() <= BROADCAST_NODES else want
+    on = docs["doc_id"].cast("long").eqNullSafe(want["__id"]) & (F.xxhash64(docs["text"]) == want["__hash"])
+    sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).select("id", "shingles").dropDuplicates(["id"]))
     found = jaccard_links(sets, similarity)
     parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))

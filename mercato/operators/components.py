@@ -39,6 +39,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             break
         mark = seen
         now = cut(_small_star(_large_star(now)).distinct())
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(roots).distinct()

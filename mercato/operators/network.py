@@ -73,7 +73,7 @@ def bounded_paths(edges: DataFrame, sources: DataFrame, cutoff: float = 1200.0,
     """(src, node, time): least times up to cutoff (inclusive) from each source node.
 
     edges: a, b, time, undirected. Each round joins the improved places with the edges;
-    rounds end with the last improvement.
+    rounds end with the last improvement. It is an error if max_rounds come before.
     """
     links = cut(edges.select(F.col("a").alias("node"), F.col("b").alias("to"), "time").unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("to"), "time")))
     best = front = cut(sources.select(F.col("node").alias("src"), "node").distinct().withColumn("cost", F.lit(0.0)))
@@ -84,6 +84,8 @@ def bounded_paths(edges: DataFrame, sources: DataFrame, cutoff: float = 1200.0,
         best = both.select("src", "node", F.least("cost", "new").alias("cost"))
         if front.isEmpty():
             break
+    else:
+        raise RuntimeError(f"paths still improve after {max_rounds} rounds")
     return best.withColumnRenamed("cost", "time")
 
 

@@ -101,3 +101,11 @@ def test_nearest_in_thin_areas(spark):
     assert {(x.a, x.b, x.rank) for x in clusters.nearest(frame, 4, 400.0).collect()} == want
     few = clusters.nearest(frame.where("siteId >= 23"), 4, 400.0).collect()
     assert len(few) == 6 and clusters.nearest(frame.limit(0), 4, 400.0).count() == 0
+
+
+def test_round_limits_are_errors(spark):
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)], "a long, b long, time double")
+    with pytest.raises(RuntimeError):
+        network.bounded_paths(edges, spark.createDataFrame([(0,)], "node long"), 700.0, max_rounds=3)
+    with pytest.raises(RuntimeError):
+        clusters.connected_components(edges, "a", "b", max_rounds=1)

@@ -25,7 +25,8 @@ HASHED = 1 << 16
 SAMPLE_PER_LANGUAGE = 150
 LEXICON = 300
 SEQUENCES, STEPS = 6000, 24
-KEPT_WORDS = 800_000
+#: Words whose emissions a worker keeps, and characters of text it takes at once: they bound its memory, not the answers.
+KEPT_WORDS, CHUNK = 200_000, 1_000_000
 UNKNOWN = "und"
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -244,12 +245,12 @@ def _decide(tagger: Tagger | None, texts: list[str | None]) -> tuple[list[str],
 
 
 def _chunks(texts):
-    """Texts of a batch in runs of about 4 MB."""
+    """Texts of a batch in runs of about CHUNK characters."""
     run, size, first = [], 0, 0
     for i, x in enumerate(texts):
         run.append(x.as_py())
         size += len(run[-1] or "")
-        if size > 4_000_000:
+        if size > CHUNK:
             yield first, run
             run, size, first = [], 0, i + 1
     if run:

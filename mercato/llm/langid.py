@@ -9,7 +9,6 @@ language has the largest mean, which is its score.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,13 +27,12 @@ SEQUENCES, STEPS = 6000, 24
 #: Words whose emissions a worker keeps, and characters of text it takes at once: they bound its memory, not the answers.
 KEPT_WORDS, CHUNK = 200_000, 1_000_000
 UNKNOWN = "und"
-_EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-_LETTER = re.compile(r"[^\W\d_]")
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1_000_003)
 
 
 def has_letter(word: str) -> bool:
-    return _LETTER.search(word) is not None
+    """Whether some character is of the Unicode category L: numerals such as ½ or Ⅷ are not letters."""
+    return any(map(str.isalpha, word))
 
 
 def _fold(h: np.ndarray, kind: int) -> np.ndarray:
@@ -81,7 +79,10 @@ def features(words: list[str], lexicon: dict[str, list[int]]) -> Iterator[tuple[
 
 def core(word: str) -> str:
     """The word without the signs and digits around it; empty where it has no letter."""
-    return word if word.isalpha() else _EDGE.sub("", word) if has_letter(word) else ""
+    if word.isalpha():
+        return word
+    at = [i for i, c in enumerate(word) if c.isalpha()]
+    return word[at[0] : at[-1] + 1] if at else ""
 
 
 @dataclass
@@ -261,7 +262,8 @@ def identify(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
     """(doc_id, lang_pred, score), one row per row of docs, from whole texts alone.
 
     A null text, or one without a letter, is `und` with score 0; without a model all are.
-    Equal texts get equal answers. Other columns aren't read.
+    Equal texts get equal answers, an empty table an empty one. A very long text is one
+    chain: a worker holds its words and their label distributions. Other columns aren't read.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # HASHED * languages floats and LEXICON words a language
 
@@ -278,13 +280,22 @@ def identify(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(work, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Crf | None, least: float = 0.2) -> DataFrame:
-    """docs, columns as they are, without documents that are `und` or whose score is under `least`."""
+def keep_identified(docs: DataFrame, model: Crf | None, least: float = 0.5) -> DataFrame:
+    """docs, columns as they are, without documents that are `und` or whose score is under `least`.
+
+    A score of 0.5 says that one language holds half of the document's words: texts of
+    several languages, none of which does, go, and so do texts without a letter (null and
+    empty ones among them). Without a model nothing can be told, and all rows stay.
+    Repeated rows share their fate; an empty table gives an empty one; other columns,
+    whatever their names, are passed on.
+    """
+    if model is None:
+        return docs
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
 
     def work(batches):
-        tagger = Tagger(held.value) if held.value else None
+        tagger = Tagger(held.value)
         for b in batches:
             keep = []
             for _, texts in _chunks(b.column(names.index("text"))):

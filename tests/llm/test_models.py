@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mercato.llm import chain, hmm, langid
 
@@ -67,6 +68,7 @@ def test_language_id(spark):
     kept = langid.keep_identified(docs, model)
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
     none = spark.createDataFrame([], DOCS)
+    assert langid.keep_identified(docs, None).count() == len(rows) and langid.keep_identified(none, model).count() == 0
     assert langid.fit(none) is None and langid.identify(none, None).count() == 0
     assert langid.identify(docs, None).where("lang_pred = 'und'").count() == len(rows)
 
@@ -122,3 +124,33 @@ def test_features_are_those_of_each_word_alone():
         n = len(w.encode("utf-8", "surrogatepass"))
         assert len(x) == n + 1 + n + 1 + 2 * min(4, n) + len(lexicon.get(w, []))
     assert list(langid.features([], lexicon)) == []
+
+
+def test_letters_are_of_category_l():
+    for w in ("½", "²", "①", "Ⅷ", "12", "!", "_", ""):
+        assert langid.core(w) == "" and not langid.has_letter(w)
+    assert langid.core("½abc²") == "abc" and langid.core("(l'eau)") == "l'eau" and langid.core("ß") == "ß"
+    crf = langid.train({"aa": [["abc", "abd"] * 9], "bb": [["xyz", "xyw"] * 9]}, epochs=1)
+    assert langid._decide(langid.Tagger(crf), ["½ ② Ⅷ", None, "abc"])[0] == ["und", "und", "aa"]
+
+
+def test_language_stage_keeps_whole_and_drops_mixed_documents(spark):
+    """Measured error: documents of one language are kept, shuffled words of all four languages go."""
+    import random
+
+    r = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    rows = [x for x in docs.collect() if fold(x.doc_id, 3) == 1 and len(x.text.split()) >= 20]
+    by = {}
+    for x in rows:
+        by.setdefault(x.lang, []).append(x.text.split())
+    mixed = []
+    for k in range(200):
+        words = [w for lang in sorted(by) for w in r.choice(by[lang])[:25]]
+        r.shuffle(words)
+        mixed.append((10**6 + k, " ".join(words), None, "mixed", len(words)))
+    frame = docs.where("n_chars >= 0").limit(0).unionByName(spark.createDataFrame(rows + mixed, docs.schema))
+    kept = {x.doc_id for x in langid.keep_identified(frame, model).select("doc_id").collect()}
+    assert len(rows) > 100 and sum(x.doc_id in kept for x in rows) >= 0.995 * len(rows)
+    assert sum(m[0] in kept for m in mixed) <= 0.05 * len(mixed)

@@ -50,7 +50,16 @@ def test_layout():
     assert t("<p>One<p>Two <b>bold</b>\n text<br>next") == "One\n\nTwo bold text\nnext"
     assert t("<ul><li>a<li>b<ol start=3><li>x<li>y</ol></ul>after") == "- a\n- b\n  3. x\n  4. y\n\nafter"
     assert t("<table><tr><th>Name<th>N<tr><td>Long name<td>1<td>z</table>") == "Name       N\nLong name  1  z"
-    assert t("<table><td>a<table><td>in</table></td><td>b</table>") == "a   b\n\nin" or "in" in t("<table><td>a<table><td>in</table></td><td>b</table>")
+    assert t("<table><td>a<table><td>in</table></td><td>b</table>") == "a   b\n\nin"
+    assert t("<table><tr><td rowspan=2>A<td>1<tr><td>2</table>") == "A  1\n   2"
+    assert t("<table><tr><td colspan=2>AB<td>C<tr><td>1<td>2<td>3</table>") == "AB     C\n1   2  3"
+    assert t("<table><tr><td colspan=99999>A<td>C<tr><td rowspan=0>1<td>2<tr><td>3</table>") == "A     C\n1  2\n   3"
+    assert t("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>") == "yes"
+    assert t("<div hidden style='display:block'>yes</div><p style='display:none!important'>no") == "yes"
+    assert t("<details><summary>s</summary>no</details><details open>yes</details><dialog>no</dialog>") == "s\nyes"
+    assert t("<textarea>a &amp; b\n  c</textarea>") == "a & b\n  c" and t("<xmp><b>&amp;</xmp>x") == "<b>&amp;\n\nx"
+    assert t("<title>no</title>a</body></html>b") == "ab" and t("<head><meta>x<p>y") == "x\n\ny"
+    assert t("a<b title='x>y' / hidden>c</b>d<p title=\"no") == "ad" and t("&#x41;&#0000000066;&#99999999999;") == "AB�"
     assert t("<head><title>no</title></head><body>a<script>var t='</p>';</script><style>p{}</style>b<!-- c -->d") == "abd"
     assert t("<div>x<div hidden>no</div><span style='display: none'>no</span><p>y&amp;&nbsp;z") == "x\n\ny&\xa0z"
     assert t("<pre>a\n  b\n\nc</pre>d") == "a\n  b\n\nc\n\nd"
@@ -73,3 +82,78 @@ def test_extract(spark):
     got = {(r.page_id, r.text if r.page_id != 3 else len(r.text), r.n_lines) for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {(1, "a", 1), (2, None, None), (None, "", 0), (3, 399999, 1)}
     assert html_text.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_time_is_in_proportion_to_the_page():
+    """Pages of 200 KB that defeat backtracking and searches of the stack."""
+    import time
+
+    n = 200_000
+    parts = ["<a", "<", "</", "<!--", "<!", "<body>", "<p>", "<p><button>", "<div title='", "<a b=c ", "<table>", "<table><td>a", "<ul><li>a", "<li><b>", "</b>", "<script>", "<textarea>", "&#9", "&", "<td colspan=1000 rowspan=9>a", "<tr><td rowspan=65534>", "<blockquote>a", "<select><option>", "<td><b><div>", "<details>", "<pre>\n", "a='", "<i style='"]
+    for part in parts:
+        began = time.time()
+        html_text.text_of(part * (n // len(part)))
+        html_text.text_of("<table><tr><td><p><b>" + part * (n // len(part) // 4) + "<div>" * 9)
+        assert time.time() - began < 15, part
+    began = time.time()
+    html_text.text_of("&#" + "9" * n + "<table>" + "<td rowspan=999>a" * 3000 + "<tr><td>b" * 1200)
+    assert time.time() - began < 30
+
+
+def test_visible_words_against_the_tree_they_come_from():
+    """Random trees, written with optional end tags left out, and their visible words by recursion."""
+    r = random.Random(12)
+
+    def grow(depth, shown, block):
+        """(source, visible words) of a random element; block: whether blocks may stand here."""
+        kind = r.choice(["word", "word", "span", "div", "ul", "p", "table", "comment", "script"] if depth and block else ["word", "span", "b", "comment"] if depth else ["word"])
+        if kind == "word":
+            w = f"w{r.randrange(10**9)}"
+            return f" {w} ", [w] if shown else []
+        if kind == "comment":
+            return r.choice(["<!-- x > w -->", "<?w?>", "<!w>"]), []
+        if kind == "script":
+            return "<script>'</p>w'</SCRIPT >", []
+        how = r.choice(["", "", "", " hidden", " style='color:red; Display : NONE'", " style=visibility:hidden", ' style="visibility: visible"'])
+        gone = "hidden" in how and "visibility" not in how or "NONE" in how
+        seen = "visible" in how or shown and how != " style=visibility:hidden"
+        inner = [grow(depth - 1, seen, block and kind not in ("span", "b", "p")) for _ in range(r.randrange(4))]
+        words = [] if gone else [w for _, ws in inner for w in ws]
+        body = "".join(x for x, _ in inner)
+        if kind == "ul":
+            return f"<ul{how}>" + "".join(f"<li>{x}" + r.choice(["", "</li>"]) for x, _ in inner) + "</ul>", words
+        if kind == "table":
+            return f"<table{how}>" + "".join(f"<tr><td>{x}" + r.choice(["", "</td>", "</td></tr>"]) for x, _ in inner) + "</table>", words
+        if kind == "p":
+            return f"<P{how}>{body}" + r.choice(["</p>", "<div></div>"]), words
+        return f"<{kind}{how}>{body}</{kind}\n>", words
+
+    for _ in range(1500):
+        source, words = "", []
+        for _ in range(4):
+            x, ws = grow(4, True, True)
+            source, words = source + x, words + ws
+        assert re.findall(r"w\d+", html_text.text_of(source)) == words, source
+
+
+def test_table_columns_against_a_filled_matrix():
+    r = random.Random(13)
+    for _ in range(300):
+        rows = [[(f"w{r.randrange(10 ** r.randrange(1, 6))}", r.choice([1, 1, 1, 2, 3]), r.choice([1, 1, 1, 2, 3])) for _ in range(r.randrange(1, 5))] for _ in range(r.randrange(1, 6))]
+        held, place = {}, []
+        for i, cells in enumerate(rows):
+            for k, (_, wide, high) in enumerate(cells):
+                at = next(c for c in range(99) if (i, c) not in held)
+                if k:
+                    at = next(c for c in range(place[-1][1] + cells[k - 1][1], 99) if (i, c) not in held)
+                place.append((i, at))
+                held |= {(a, b): 1 for a in range(i, i + high) for b in range(at, at + wide)}
+        source = "<table>" + "".join("<tr>" + "".join(f"<td colspan={w} rowspan='{h}'>{t}" for t, w, h in cells) for cells in rows) + "</table>"
+        lines = html_text.text_of(source).split("\n")
+        texts = [t for cells in rows for t, _, _ in cells]
+        wide = {}
+        for (_, c), t in zip(place, texts):
+            wide[c] = max(wide.get(c, 0), len(t))
+        left = {c: sum(wide[b] + 2 for b in wide if b < c) for c in wide}
+        for (i, c), t in zip(place, texts):
+            assert lines[i][left[c] :].split(" ")[0] == t, source

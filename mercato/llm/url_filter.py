@@ -3,8 +3,16 @@
 Two variable-order Markov models over bytes, one of accepted and one of rejected URLs,
 give each byte a probability that interpolates all context lengths up to ORDER (the
 weight of a longer context grows with how often it was seen, Witten-Bell). The mean
-difference of their log-likelihoods per byte is compared with a threshold, which is set
-on held-out accepted URLs so that at most FALSE_BLOCKS of them are above it.
+difference of their log-likelihoods per byte, over the whole URL, is compared with a
+threshold.
+
+Labels: hosts that hold a word of REJECTED_HOSTS seed the rejected class; the others are
+not yet accepted. Each is first scored by models that saw no URL of its host (folds by
+host). Hosts most of whose URLs are likelier as rejected ones, unseen, join the rejected
+class, so that kinds of hosts outside the seed list are found, and the others are the accepted
+class. The threshold is set on scores of both classes, again by models that didn't see the
+host: the fewest errors, a class counting as a whole, with at most FALSE_BLOCKS of the
+accepted URLs above it.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mercato.session import table
@@ -22,7 +31,9 @@ ORDER = 5
 #: At most so many distinct URLs of a class train the models, chosen by hash.
 SAMPLE = 4000
 FALSE_BLOCKS = 0.01
-#: Host words whose URLs are the seed of the rejected class; all others are the accepted class.
+#: Folds of hosts, and the share of a host's URLs that must score as rejected for it to be.
+FOLDS, HOST_SHARE = 5, 0.5
+#: Host words that seed the rejected class.
 REJECTED_HOSTS = ("spam", "adult", "casino", "porn", "phish", "malware")
 #: (rule, verdict): a host and a path prefix.
 RULES = (
@@ -70,13 +81,52 @@ class RatioModel:
         return (self.rejected.log_likelihood(url) - self.accepted.log_likelihood(url)) / (len(url) + 1)
 
 
-def train(accepted: list[bytes], rejected: list[bytes]) -> RatioModel | None:
-    """None where a class is empty: then nothing is blocked. Every fifth accepted URL is held out to set the threshold."""
-    fit, held = [u for i, u in enumerate(accepted) if i % 5], accepted[::5]
-    if not fit or not rejected:
+Urls = list[tuple[str, bytes]]  # (host, whole URL)
+
+
+def _unseen(accepted: Urls, rejected: Urls) -> tuple[np.ndarray, np.ndarray]:
+    """Differences of the URLs of both classes by models that saw no URL of the same fold of hosts.
+
+    A fold that holds all of a class is scored by models of the other folds and all of the class.
+    """
+    fold = lambda host: xxhash.xxh64_intdigest(host.encode(), 3) % FOLDS
+    out = [np.zeros(len(accepted)), np.zeros(len(rejected))]
+    for f in range(FOLDS):
+        own = [[i for i, (h, _) in enumerate(urls) if fold(h) == f] for urls in (accepted, rejected)]
+        if not any(own):
+            continue
+        rest = [[u for h, u in urls if fold(h) != f] or [u for _, u in urls] for urls in (accepted, rejected)]
+        m = RatioModel(Markov(rest[0]), Markov(rest[1]), 0.0)
+        for scores, urls, some in zip(out, (accepted, rejected), own):
+            scores[some] = [m.difference(urls[i][1]) for i in some]
+    return out[0], out[1]
+
+
+def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
+    """The value between scores with the least sum of both error rates, at most FALSE_BLOCKS of good above it."""
+    at = np.unique(np.concatenate([good, bad]))
+    at = np.concatenate([[at[0] - 1], (at[:-1] + at[1:]) / 2, [at[-1] + 1]])
+    above = 1 - np.searchsorted(np.sort(good), at, "right") / len(good)
+    missed = np.searchsorted(np.sort(bad), at, "right") / len(bad)
+    cost = np.where(above <= FALSE_BLOCKS, above + missed, np.inf)
+    return float(at[int(np.argmin(cost))])
+
+
+def train(unlabelled: Urls, seeds: Urls) -> RatioModel | None:
+    """None where either is empty: then nothing is blocked."""
+    if not unlabelled or not seeds:
         return None
-    m = RatioModel(Markov(fit), Markov(rejected), 0.0)
-    m.threshold = max(0.0, float(np.quantile([m.difference(u) for u in held], 1 - FALSE_BLOCKS)))
+    scores, _ = _unseen(unlabelled, seeds)
+    by_host: dict[str, list[bool]] = {}
+    for (host, _), s in zip(unlabelled, scores):
+        by_host.setdefault(host, []).append(s > 0)
+    alike = {h for h, seen in by_host.items() if sum(seen) > HOST_SHARE * len(seen)}
+    accepted = [x for x in unlabelled if x[0] not in alike]
+    rejected = seeds + [x for x in unlabelled if x[0] in alike]
+    if not accepted:
+        accepted, rejected = unlabelled, seeds
+    m = RatioModel(Markov([u for _, u in accepted]), Markov([u for _, u in rejected]), 0.0)
+    m.threshold = _threshold(*_unseen(accepted, rejected))
     return m
 
 
@@ -100,12 +150,15 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def fit(pages: DataFrame, url_col: str = "url", is_rejected: Column | None = None) -> RatioModel | None:
-    """Models from SAMPLE distinct URLs of each class; is_rejected defaults to REJECTED_HOSTS."""
-    host, path = parts(url_col)
-    some = pages.select(host.alias("host"), F.concat(host, path).alias("u"), (is_rejected if is_rejected is not None else F.lit(None)).alias("given")).where("u <> ''")
+    """Models from SAMPLE distinct URLs, seeds of the rejected class and SAMPLE others; seeds are by REJECTED_HOSTS where is_rejected is null.
+
+    Null and empty URLs are left out, repeated ones count once; None for an empty table.
+    """
+    host, _ = parts(url_col)
+    some = pages.select(host.alias("host"), F.col(url_col).alias("u"), (is_rejected if is_rejected is not None else F.lit(None)).alias("given")).where("u <> ''")
     named = F.coalesce(F.col("given").cast("boolean"), F.col("host").rlike("|".join(REJECTED_HOSTS)))
-    some = some.select("u", named.alias("bad")).distinct()
-    pick = lambda bad: [r["u"].encode() for r in some.where(F.col("bad") == bad).orderBy(F.xxhash64("u"), "u").limit(SAMPLE).collect()]
+    some = some.select("host", "u", named.alias("bad")).distinct()
+    pick = lambda bad: [(r["host"], r["u"].encode()) for r in some.where(F.col("bad") == bad).orderBy(F.xxhash64("u"), "u").limit(SAMPLE).collect()]
     return train(pick(False), pick(True))
 
 
@@ -113,25 +166,27 @@ def judge(pages: DataFrame, model: RatioModel | None, id_col: str = "page_id", u
     """(page_id, host, path, rule, verdict, difference), one row per row of pages.
 
     verdict is the rule's; without a rule it is block where the difference is over the
-    threshold. An empty host and path, null included, has difference null and is allowed.
-    Repeated rows get equal answers. Other columns aren't read.
+    threshold. Every byte of the URL counts, query and fragment too, and URLs without a
+    `://` are scored like others. A null or empty URL has difference null and is allowed.
+    Repeated rows get equal answers, an empty table none. Other columns aren't read.
     """
     held = pages.sparkSession.sparkContext.broadcast(model)  # at most 2 * SAMPLE urls' contexts
     host, path = parts(url_col)
-    some = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
+    some = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"), F.col(url_col).alias("url"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     some = some.withColumns({"rule": rule, "verdict": verdict})
-    schema = T.StructType([*some.schema.fields, T.StructField("difference", T.DoubleType())])
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    schema = T.StructType([*(some.schema[n] for n in names), T.StructField("difference", T.DoubleType())])
 
     def work(batches):
         m = held.value
         for b in batches:
             verdicts, diffs = [], []
-            for h, p, v in zip(*(b.column(k).to_pylist() for k in (1, 2, 4))):
-                d = m.difference((h + p).encode()) if m and (h or p) else None
+            for u, v in zip(b.column("url").to_pylist(), b.column("verdict").to_pylist()):
+                d = m.difference(u.encode()) if m and u else None
                 diffs.append(d)
                 verdicts.append(v or ("block" if d is not None and d > m.threshold else "allow"))
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(verdicts, pa.string()), pa.array(diffs, pa.float64())], names=["page_id", "host", "path", "rule", "verdict", "difference"])
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names[:4]), pa.array(verdicts, pa.string()), pa.array(diffs, pa.float64())], names=[*names, "difference"])
 
     return some.mapInArrow(work, schema)
 

@@ -45,6 +45,38 @@ def test_url_verdicts(spark):
     assert url_filter.fit(pages.where("page_id < 0")) is None
 
 
+def test_kinds_of_hosts_that_no_seed_names_are_blocked(spark):
+    """No word of free-bets, cheap-pills or ads-track is a seed; threshold and recall are by hosts that no model saw."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    model = url_filter.fit(pages)
+    got = [r for r in url_filter.judge(pages, model, rules=()).collect() if r.host]
+    blocked = lambda part: [r.verdict == "block" for r in got if part in r.host]
+    for family in ("bets", "pills", "ads-track", "spam", "adult", "casino"):
+        assert len(blocked(family)) > 10 and sum(blocked(family)) >= 0.9 * len(blocked(family)), family
+    other = [r.verdict == "block" for r in got if not any(x in r.host for x in ("bets", "pills", "ads-", "spam", "adult", "casino"))]
+    assert len(other) > 2000 and sum(other) <= url_filter.FALSE_BLOCKS * len(other)
+
+
+def test_likelihood_against_a_plain_model():
+    """Witten-Bell probabilities by their formula, counts taken anew for each context."""
+    import math
+
+    r = random.Random(5)
+    urls = ["".join(r.choice("ab/.") for _ in range(r.randrange(1, 9))).encode() for _ in range(30)]
+    m = url_filter.Markov(urls)
+
+    def p(context, c):
+        seen = [u[i + len(context)] for u in (x + b"\0" for x in urls) for i in range(len(u) - len(context)) if u[i : i + len(context)] == context]
+        shorter = p(context[1:], c) if context else 1 / 256
+        return (seen.count(c) + len(set(seen)) * shorter) / (len(seen) + len(set(seen))) if seen else shorter
+
+    for u in [*urls[:10], b"", b"abx/"]:
+        want = sum(math.log(p((u + b"\0")[max(0, i - url_filter.ORDER) : i], c)) for i, c in enumerate(u + b"\0"))
+        assert math.isclose(m.log_likelihood(u), want)
+    ratio = url_filter.RatioModel(m, url_filter.Markov(urls[:3]), 0.0)
+    assert math.isclose(ratio.difference(b"ab"), (ratio.rejected.log_likelihood(b"ab") - m.log_likelihood(b"ab")) / 3)
+
+
 def test_layout():
     t = html_text.text_of
     assert t("<p>One<p>Two <b>bold</b>\n text<br>next") == "One\n\nTwo bold text\nnext"

@@ -25,7 +25,7 @@ SAMPLE_PER_LANGUAGE = 150
 LEXICON = 300
 SEQUENCES, STEPS = 6000, 24
 #: Words whose emissions a worker keeps, and characters of text it takes at once: they bound its memory, not the answers.
-KEPT_WORDS, CHUNK = 200_000, 1_000_000
+KEPT_WORDS, CHUNK = 400_000, 1_000_000
 UNKNOWN = "und"
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1_000_003)
 

@@ -11,8 +11,10 @@ size is one row in the join.
 
 Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There bands of
 MinHash values tell which texts have a partner at all, the rarest shingles of these (a
-prefix that similar sets must share) bring pairs together, and the exact Jaccard
-similarity of their sets of shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
+prefix that similar sets must share) bring pairs together, parity bitmaps of the sets rule
+out pairs that differ in too many shingles (no pair is lost by that: bits that differ are
+never more than shingles that do), and the exact Jaccard similarity of their sets of
+shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
 
 Null and empty texts have the fingerprint zero. Repeated rows share a fingerprint; null
 ids are kept and never become a component's id unless the whole component has none. An
@@ -22,6 +24,7 @@ empty table gives an empty result. Only the named columns are read.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -41,6 +44,8 @@ TABLES = 8
 BROADCAST_NODES = 500_000
 #: MinHash bands of a document and values in a band. A pair of similarity s shares no band with probability (1 - s^ROWS)^BANDS: 5e-8 at 0.8.
 BANDS, ROWS = 32, 4
+#: Longs of the parity bitmap of a set of shingles.
+WORDS = 8
 _ODD = [int(x) | 1 for x in np.random.default_rng(7).integers(1 << 62, 1 << 63, 64)]
 _MIX, _ADD = np.random.default_rng(11).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64, endpoint=False) | np.uint64(1)
 
@@ -110,8 +115,14 @@ def bands(some: np.ndarray) -> np.ndarray:
     return key
 
 
+def parity(some: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits, each the parity of the number of hashes that fall on it, as longs."""
+    odd = np.bincount((some % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def shingle_sets(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, id, bands, shingles): id stands for the set of shingles."""
+    """(doc_id, text_hash, id, bands, shingles, p0 .. p<WORDS-1>): id stands for the set of shingles, p are its parity bitmap."""
 
     def lists(arrays):
         ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
@@ -123,10 +134,12 @@ def shingle_sets(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_c
                 b = whole.slice(at, 256)
                 sets = [shingles(x.as_py(), width) for x in b.column(2)]
                 ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids), lists([bands(s) for s in sets]), lists(sets)], names=["doc_id", "text_hash", "id", "bands", "shingles"])
+                bits = np.array([parity(s) for s in sets]).reshape(-1, WORDS)
+                words = {f"p{k}": pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS)}
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text_hash": b.column(1), "id": pa.array(ids), "bands": lists([bands(s) for s in sets]), "shingles": lists(sets), **words})
 
     some = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("b"))
-    return some.mapInArrow(work, "doc_id long, text_hash long, id long, bands array<long>, shingles array<long>")
+    return some.mapInArrow(work, "doc_id long, text_hash long, id long, bands array<long>, shingles array<long>" + "".join(f", p{k} long" for k in range(WORDS)))
 
 
 def _segments(f: np.ndarray):
@@ -191,12 +204,12 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
             pairs = pairs.join(whole.select(F.col("id").alias(end), F.col("all").alias(f"all_{end}")), end)
         return cut(pairs.where(bits <= max_bits).select("a", "b"))
 
-    keyed = sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home", F.lit(0).alias("of"))
-    return _linked(keyed, holding, lambda u, v: F.lit(True))
+    keyed = sketches.select("id", *(f"f{t}" for t in range(tables))).mapInArrow(_keys(True, tables), _KEYED).select("key", "id", "home")
+    return _linked(keyed, holding)
 
 
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """(key, id, of): the shingles of the prefix of each set that another set has too; of is the set's size and the place in it.
+    """(key, id, size, place): the shingles of the prefix of each set that another set has too, with the set's size and the place in it.
 
     Places are in the order of how many sets have the shingle, rare ones first. Of two sets
     of this Jaccard similarity or more the first shingle in common is in both prefixes.
@@ -206,32 +219,76 @@ def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     w = Window.partitionBy("id")
     place = F.col("size") - F.count("*").over(w) + F.row_number().over(w.orderBy("n", "key")) - 1
     held = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
-    return held.select("key", "id", F.struct("size", "place").alias("of"))
+    return held.select("key", "id", "size", "place")
 
 
 def jaccard_links(sets: DataFrame, similarity: float) -> DataFrame:
     """(a, b), a < b: links with the components of all pairs whose sets have at least this Jaccard similarity.
 
-    sets has id and shingles, one row an id.
+    sets has id, shingles and the words of their bitmap, one row an id. A key's sets are first compared with its lead, the
+    one with the fewest rare shingles before the key, then with a second lead outside the
+    first one's component. Each is a row a set and key, and a group of near copies collapses
+    in them. Of what is left only sets of different components that share a key are
+    compared, and of those only pairs that their bitmaps let through: no component is lost.
     """
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    n, m = F.size("set_a"), F.size("set_b")
+    size = F.size("shingles").alias("size")
+    words = [f"p{k}" for k in range(WORDS)]
+    small = cut(sets.select("id", size, *words))
+    need = lambda n, m: (n + m) * (similarity / (1 + similarity)) - 1e-9  # noqa: E731  the least number in common
+
+    def bits(side: str) -> DataFrame:
+        return small.select(F.col("id").alias(side), F.col("size").alias(f"{side}_size"), *(F.col(w).alias(f"{side}_{w}") for w in words))
+
+    def alike(a: str, b: str) -> Column:
+        """False where the bitmaps differ in more bits than shingles of such a pair can."""
+        n, m = F.col(f"{a}_size"), F.col(f"{b}_size")
+        differ = sum((F.bit_count(F.col(f"{a}_{w}").bitwiseXOR(F.col(f"{b}_{w}"))) for w in words), F.lit(0))
+        return (n + m - differ) / 2 >= need(n, m)
+
+    def reaches(n: Column, at: Column, m: Column, to: Column) -> Column:
+        """False where the key is so late in one of the sets that too few can follow."""
+        return F.least(n - at, m - to) >= need(n, m)
 
     def holding(pairs: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("shingles").alias(f"set_{end}")), end)
+        n, m, both = F.size("set_a"), F.size("set_b"), F.size(F.array_intersect("set_a", "set_b"))
         return cut(pairs.where(both / (n + m - both) >= similarity).select("a", "b"))
 
-    def may(u: Column, v: Column) -> Column:
-        """False where the first shingle in common is so late that too few can follow, or one set is too small."""
-        most = F.least(u["size"] - u["place"], v["size"] - v["place"])
-        return most >= (u["size"] + v["size"]) * (similarity / (1 + similarity)) - 1e-9
-
-    return _linked(prefixes(sets, similarity).select("key", "id", F.lit(True).alias("home"), "of"), holding, may)
+    def led(rows: DataFrame) -> DataFrame:
+        """Links of sets with the lead of a key, from rows (id, size, place, lead)."""
+        near = rows.where(F.col("id") != F.col("lead.id")).where(reaches(F.col("size"), F.col("place"), F.col("lead.size"), F.col("lead.place")))
+        ends = F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b")
+        return holding(near.select(*ends).distinct().join(bits("a"), "a").join(bits("b"), "b").where(alike("a", "b")).select("a", "b"))
 
-
-def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame], may: Callable[[Column, Column], Column]) -> DataFrame:
-    """(a, b), a < b: of the pairs that share a key, one of them at home there, and may(of, of) is true, links with the components of those that `holding` keeps.
+    w = Window.partitionBy("key")
+    mine = F.struct("place", F.xxhash64("id"), "id", "size")
+    met = prefixes(sets, similarity).select("key", "id", "size", "place", F.count("*").over(w).alias("n"), F.min(mine).over(w).alias("lead"))
+    met = cut(met.where("n > 1").select("key", "id", "size", "place", F.struct("lead.place", "lead.id", "lead.size").alias("lead")))
+    links = led(met)
+
+    def apart(links: DataFrame) -> DataFrame:
+        """Rows of keys with sets of several components, with their component as part."""
+        parts = cut(connected_components(links, "a", "b"))
+        own = F.broadcast(parts) if parts.count() <= BROADCAST_NODES else parts
+        named = met.join(own, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
+        return named.withColumns({"low": F.min("part").over(w), "high": F.max("part").over(w)}).where("low <> high")
+
+    rows = apart(links)
+    first = F.max(F.when(F.col("id") == F.col("lead.id"), F.col("part"))).over(w)
+    other = F.min(F.when(F.col("part") != F.col("first"), F.struct("place", F.xxhash64("id"), "id", "size", "part"))).over(w)
+    rows = rows.withColumn("first", first).withColumn("lead", other).where(F.col("part") != F.col("lead.part"))
+    links = cut(links.unionByName(led(rows)).distinct())
+    left = cut(apart(links).select("key", "id", "place", "part"))
+    left = left.join(small, "id")
+    side = lambda s: left.select("key", F.col("id").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("place", "part", "size", *words)))
+    on = (F.col("u_part") < F.col("v_part")) & reaches(F.col("u_size"), F.col("u_place"), F.col("v_size"), F.col("v_place")) & alike("u", "v")
+    rest = side("u").join(side("v"), "key").where(on).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    return links.unionByName(holding(rest)).distinct()
+
+
+def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b), a < b: of the pairs that share a key, one of them at home there, links with the components of those that `holding` keeps.
 
     A key's sketches are first compared with one of those at home there, chosen by hash. Sketches that
     link to it are in one component, so of the key's other pairs only those with a sketch
@@ -239,19 +296,19 @@ def _linked(keyed: DataFrame, holding: Callable[[DataFrame], DataFrame], may: Ca
     component is lost.
     """
     w = Window.partitionBy("key")
-    met = keyed.select("key", "id", "home", "of", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.struct(F.xxhash64("key", "id"), "id", "of"))).over(w).alias("least"))
-    met = cut(met.where("n > 1 and least is not null").select("key", "id", "home", "of", F.col("least.id").alias("lead"), F.col("least.of").alias("lead_of")))
-    led = holding(met.where("id <> lead").where(may(F.col("of"), F.col("lead_of"))).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    met = keyed.select("key", "id", "home", F.count("*").over(w).alias("n"), F.min(F.when(F.col("home"), F.struct(F.xxhash64("key", "id"), "id"))).over(w).alias("least"))
+    met = cut(met.where("n > 1 and least is not null").select("key", "id", "home", F.col("least.id").alias("lead")))
+    led = holding(met.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
     parts = cut(connected_components(led, "a", "b"))
     own = F.broadcast(parts) if parts.count() <= BROADCAST_NODES else parts
     named = met.where("id <> lead").join(own, F.col("id") == F.col("node"), "left").withColumn("part", F.coalesce("component", "id")).drop("node", "component")
     # the lead is in its key's comparison already: a key whose sketches are all in one part has nothing to add
     named = named.withColumns({"low": F.min("part").over(w), "high": F.max("part").over(w)}).where("low <> high")
     alone = named.join(led, (F.col("lead") == F.col("a")) & (F.col("id") == F.col("b")), "left_anti")
-    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"), F.col("part").alias("u_part"), F.col("of").alias("u_of"))
-    other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"), F.col("of").alias("v_of"))
+    alone = alone.select("key", F.col("id").alias("u"), F.col("home").alias("u_home"), F.col("part").alias("u_part"))
+    other = named.select("key", F.col("id").alias("v"), "home", F.col("part").alias("v_part"))
     ends = F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")
-    rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").where(may(F.col("u_of"), F.col("v_of"))).select(*ends).distinct())
+    rest = holding(alone.join(other, "key").where("u_part <> v_part and (home or u_home)").select(*ends).distinct())
     return led.unionByName(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -286,16 +343,17 @@ def similar_bits(similarity: float, tables: int) -> int:
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component, first) as groups gives them, for sets of shingles of at least this Jaccard similarity."""
-    prints = cut(shingle_sets(docs, width).drop("shingles"))
+    prints = cut(shingle_sets(docs, width).select("doc_id", "text_hash", "id", "bands"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("bands").alias("bands")))
     shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
     met = sketches.join(shared.where("n > 1").select("id").distinct(), "id")
     # the sets, larger than the texts, are made again for those with a partner, of copies for the first
-    want = cut(met.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")))
+    want = cut(met.select(F.col("first.doc_id").alias("want_id"), F.col("first.text_hash").alias("want_hash")))
     want = F.broadcast(want) if want.count() <= BROADCAST_NODES else want
-    on = docs["doc_id"].cast("long").eqNullSafe(want["__id"]) & (F.xxhash64(docs["text"]) == want["__hash"])
-    sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).select("id", "shingles").dropDuplicates(["id"]))
+    docs = docs.select("doc_id", "text")
+    on = docs["doc_id"].cast("long").eqNullSafe(want["want_id"]) & (F.xxhash64(docs["text"]) == want["want_hash"])
+    sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).drop("doc_id", "text_hash", "bands").dropDuplicates(["id"]))
     found = jaccard_links(sets, similarity)
     parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -306,13 +364,16 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
 def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each near-duplicate group: the smallest (doc_id, text hash), nulls last.
 
-    Columns stay as they are; of repeated rows (one id, one text) one stays.
+    Columns stay as they are, whatever their names; of repeated rows (one id, one text) one
+    stays; texts without words, null ones too, are one group. An empty table gives an empty one.
     """
+    tag = uuid.uuid4().hex
+    ident, text = f"id_{tag}", f"hash_{tag}"
     classes = similar_groups(docs, width, similarity)
-    kept = classes.select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")).distinct()
-    marked = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
-    on = marked["__id"].eqNullSafe(kept["__id"]) & (marked["__hash"] == kept["__hash"])
-    return marked.join(kept, on, "left_semi").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    kept = classes.select(F.col("first.doc_id").alias(ident), F.col("first.text_hash").alias(text)).distinct()
+    marked = docs.withColumns({ident: F.col("doc_id").cast("long"), text: F.xxhash64("text")})
+    on = marked[ident].eqNullSafe(kept[ident]) & (marked[text] == kept[text])
+    return marked.join(kept, on, "left_semi").dropDuplicates([ident, text]).select(*docs.columns)
 
 
 def op3_near_dup(spark, sf_dir: str) -> DataFrame:

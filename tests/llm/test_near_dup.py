@@ -153,3 +153,33 @@ def test_deduplicate_against_brute_force_jaccard(spark):
     assert sum(0.8 <= s < 0.85 for s in near.values()) > 20 and sum(0.75 <= s < 0.8 for s in near.values()) > 20
     out = near_dup.deduplicate(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
     assert {x.doc_id for x in out.collect()} == set(_components(links, n).values())
+
+
+def test_bitmaps_never_differ_in_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        both, a, b = (r.integers(0, 1 << 63, r.integers(0, n), dtype=np.uint64) for n in (900, 60, 60))
+        x, y = (np.unique(np.concatenate([both, one])) for one in (a, b))
+        bits = sum(int(v ^ w).bit_count() for v, w in zip(*(near_dup.parity(s).view(np.uint64).tolist() for s in (x, y))))
+        assert bits <= len(np.setxor1d(x, y)) and (len(np.setxor1d(x, y)) > 20 or bits >= len(np.setxor1d(x, y)) - 8)
+    assert not near_dup.parity(np.empty(0, np.uint64)).any()
+
+
+def test_deduplicate_a_crowd_of_near_copies_and_clashing_columns(spark):
+    """Variants of one text, so that most share each key and many pairs are just under or over 0.8."""
+    r = random.Random(21)
+    base = ["w%d" % r.randrange(10**6) for _ in range(120)]
+    rows = []
+    for i in range(260):
+        ws = list(base)
+        for _ in range(r.randrange(0 if i % 50 == 49 else 1, 6)):
+            ws[r.randrange(120)] = "n%d" % r.randrange(10**6)
+        rows.append(" ".join(ws))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in rows)]
+    n = range(len(rows))
+    links = [(a, b) for a in n for b in n if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = set(_components(links, n).values())
+    frame = spark.createDataFrame([(i, t, i, "h", "x") for i, t in enumerate(rows)], "doc_id long, text string, __id long, __hash string, key string")
+    out = near_dup.deduplicate(frame)
+    assert out.columns == frame.columns and {x.doc_id for x in out.collect()} == want and 1 < len(want) < 200
+    assert near_dup.deduplicate(frame.limit(0)).count() == 0

@@ -12,6 +12,8 @@ their n-gram's; documents are looked up by n-grams of the lengths that occur.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.text_sql import NOT_WORD, ahead, joined, lower_ascii, lower_of, words
@@ -126,10 +128,16 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs, columns as they are, without documents that share a window with an item."""
-    bad = hits(docs, items).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    marked = docs.withColumns({"__own": F.col("doc_id").cast("long"), "__text": F.xxhash64("text")})
-    return marked.join(bad, marked["__own"].eqNullSafe(bad["__id"]) & (marked["__text"] == bad["__hash"]), "left_anti").select(*docs.columns)
+    """docs, columns as they are, whatever their names, without documents that share a window with an item.
+
+    Null and empty texts share none; repeated rows share their fate; with no items, or an
+    empty table, docs come back.
+    """
+    tag = uuid.uuid4().hex
+    bad_id, bad_hash, own_id, own_hash = (f"{x}_{tag}" for x in ("bad_id", "bad_hash", "own_id", "own_hash"))
+    bad = hits(docs, items).where("contaminated").select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    marked = docs.withColumns({own_id: F.col("doc_id").cast("long"), own_hash: F.xxhash64("text")})
+    return marked.join(bad, marked[own_id].eqNullSafe(bad[bad_id]) & (marked[own_hash] == bad[bad_hash]), "left_anti").select(*docs.columns)
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ each slot. A rebalance edits the map, never the hash, so only the moved slots' r
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from mercato.operators.ranking import rank_in_group
-from mercato.session import cut, table
+from mercato.session import cut, remove_dir, shared_dir, table
 
 SLOTS = 4096
 #: Parts into which the rows of a slot are split to number them.
@@ -99,7 +100,7 @@ def shard(docs: DataFrame, now: SlotMap, then: SlotMap | None = None, id_col: st
 
     slot is the row's place in its shard, 0, 1, ..; grown_shard is the shard under `then`.
     A null text has size 1 and the checksum of no bytes; null ids share one slot. Repeated
-    rows get places of their own. Other columns aren't read.
+    rows get places of their own, an empty table none. Other columns aren't read.
     """
     spark, slots = docs.sparkSession, len(now.shard_of)
     both = now.frame(spark).select("virtual_slot", "shard")
@@ -114,7 +115,17 @@ def shard(docs: DataFrame, now: SlotMap, then: SlotMap | None = None, id_col: st
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:
-    """Eight shards by key: the id and the number of shards decide, one more shard only takes."""
-    now = SlotMap.of(8)
-    done = shard(table(spark, sf_dir, "documents"), now, now.grown())
+    """Eight shards by key: the id and the number of shards decide, one more shard only takes.
+
+    Both versions of the map are stored in the shared folder and read from there. The law
+    `key` forbids moves by bytes (two corpora would place one id apart), so the slots' bytes
+    are reported and the edit by bytes, `rebalanced`, is for the callers of other laws.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex}"
+    first = SlotMap.of(8)
+    first.save(spark, folder)
+    first.grown().save(spark, folder)
+    now, then = SlotMap.load(spark, folder, first.version), SlotMap.load(spark, folder)
+    remove_dir(spark, folder)
+    done = shard(table(spark, sf_dir, "documents"), now, then)
     return done.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "virtual_slot", "slot_bytes")

@@ -6,11 +6,12 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.functions.scalars import distance
 from mercato.operators.components import connected_components
 from mercato.operators.grid import grid_join
+from mercato.operators.ranking import sequential_ids
 from mercato.session import cut
 
 
@@ -19,17 +20,37 @@ def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame
 
     An edge holds iff no third point lies on it and the angles opposite to it, the largest
     on each side, sum to at most two right angles: their cotangents sum to zero or more.
+    Third points are sought within a halo around the edge's middle. Seen from beyond a halo
+    h an edge of length d has a cotangent of (h^2 - d^2 / 4) / (d h) or more, which settles
+    nearly all edges; the others are tried again with a doubled halo.
     """
-    p = points.select(group, "siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y"))
+    p = cut(points.select(group, "siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y")))
     a = p.select(group, F.col("siteId").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
     b = p.select(F.col(group).alias("__g"), F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    pairs = grid_join(a, b, radius, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a < b").drop("__g")
-    j = pairs.join(p.withColumnRenamed("siteId", "r"), group).where("r <> a and r <> b")
-    s = (F.col("bx") - F.col("ax")) * (F.col("y") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("x") - F.col("ax"))
-    d = (F.col("x") - F.col("ax")) * (F.col("x") - F.col("bx")) + (F.col("y") - F.col("ay")) * (F.col("y") - F.col("by"))
-    j = j.select(group, "a", "b", s.alias("s"), d.alias("d")).withColumn("cot", F.when(F.col("s") != 0, F.col("d") / F.nullif(F.abs("s"), F.lit(0.0))))
-    g = j.groupBy(group, "a", "b").agg(F.min(F.when(F.col("s") > 0, F.col("cot"))).alias("l"), F.min(F.when(F.col("s") < 0, F.col("cot"))).alias("r"), F.max(F.when((F.col("s") == 0) & (F.col("d") < 0), 1).otherwise(0)).alias("on"))
-    return g.where((F.col("on") == 0) & (F.col("l").isNull() | F.col("r").isNull() | (F.col("l") + F.col("r") >= 0))).select(group, "a", "b")
+    left = grid_join(a, b, radius, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a < b").drop("__g")
+    left = cut(left.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2}))
+    third = p.select(F.col(group).alias("__g"), F.col("siteId").alias("r"), "x", "y")
+    span = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
+    done, halo = None, 4 * radius
+    while True:
+        j = grid_join(left, third, halo, "mx", "my", "x", "y").where(F.col(group) == F.col("__g")).where("r <> a and r <> b")
+        s = (F.col("bx") - F.col("ax")) * (F.col("y") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("x") - F.col("ax"))
+        d = (F.col("x") - F.col("ax")) * (F.col("x") - F.col("bx")) + (F.col("y") - F.col("ay")) * (F.col("y") - F.col("by"))
+        j = j.select(group, "a", "b", s.alias("s"), d.alias("d")).withColumn("cot", F.when(F.col("s") != 0, F.col("d") / F.nullif(F.abs("s"), F.lit(0.0))))
+        g = j.groupBy(group, "a", "b").agg(F.min(F.when(F.col("s") > 0, F.col("cot"))).alias("l"), F.min(F.when(F.col("s") < 0, F.col("cot"))).alias("r"), F.max(F.when((F.col("s") == 0) & (F.col("d") < 0), 1).otherwise(0)).alias("on"))
+        seen = left.join(g, [group, "a", "b"], "left")
+        long = distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+        far = F.when((long > 0) & F.lit(halo <= span), (halo * halo - long * long / 4) / F.nullif(long * halo, F.lit(0.0)))
+        least = lambda c: F.least(F.col(c), far)  # noqa: E731  null only where nothing is on that side, near or far
+        holds = least("l").isNull() | least("r").isNull() | (least("l") + least("r") >= 0)
+        fails = (F.coalesce("on", F.lit(0)) == 1) | F.coalesce(F.col("l") + F.col("r") < 0, F.lit(False))
+        seen = cut(seen.withColumns({"holds": ~fails & holds, "open": ~fails & ~holds}).drop("l", "r", "on"))
+        found = seen.where("holds").select(group, "a", "b")
+        done = found if done is None else done.unionByName(found)
+        left = seen.where("open").drop("holds", "open")
+        if halo > span or left.isEmpty():
+            return done
+        halo *= 2
 
 
 def pruned(edges: DataFrame, distances: DataFrame, eps: float) -> DataFrame:
@@ -144,18 +165,20 @@ def two_phase(points: DataFrame, pairs: DataFrame, edges: DataFrame, attrs: list
     return first.join(sub.withColumnRenamed("label", "sub"), "n", "left").withColumn("sub", F.coalesce("sub", "label"))
 
 
-def nearest(points: DataFrame, k: int, radius: float) -> DataFrame:
-    """(a, b, d, rank): the k nearest others of each point, ties by id.
+def nearest(points: DataFrame, k: int, radius: float, of: DataFrame | None = None) -> DataFrame:
+    """(a, b, d, rank): the k nearest others of each point, ties by id; the nearest points of each place in `of`, if given.
 
     The search begins in the box of +-radius. Points with fewer than k others within radius
     are tried again with a doubled one, until it spans all points.
     """
-    place = lambda a, x, y: points.select(F.col("siteId").alias(a), F.col("xx").cast("double").alias(x), F.col("yy").cast("double").alias(y))
-    done, left, others = None, place("a", "ax", "ay"), place("b", "bx", "by")
-    span = others.agg(F.greatest(F.max("bx") - F.min("bx"), F.max("by") - F.min("by"))).first()[0] or 0.0
+    place = lambda df, a, x, y: df.select(F.col("siteId").alias(a), F.col("xx").cast("double").alias(x), F.col("yy").cast("double").alias(y))
+    done, left, others = None, place(points if of is None else of, "a", "ax", "ay"), place(points, "b", "bx", "by")
+    every = others.select("bx", "by").union(left.select("ax", "ay"))
+    span = every.agg(F.greatest(F.max("bx") - F.min("bx"), F.max("by") - F.min("by"))).first()[0] or 0.0
+    apart = F.col("a") != F.col("b") if of is None else F.lit(True)
     w = Window.partitionBy("a")
     while True:
-        p = grid_join(left, others, radius, "ax", "ay", "bx", "by").where("a <> b").select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
+        p = grid_join(left, others, radius, "ax", "ay", "bx", "by").where(apart).select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
         p = p.withColumns({"rank": F.row_number().over(w.orderBy("d", "b")), "n": F.count(F.when(F.col("d") <= radius, 1)).over(w)})
         best = p.where((F.col("rank") <= k) & ((F.col("n") >= k) | F.lit(radius >= span)))
         best = cut(best.select("a", "b", "d", "rank"))
@@ -164,3 +187,71 @@ def nearest(points: DataFrame, k: int, radius: float) -> DataFrame:
         if radius >= span or left.isEmpty():
             return done
         radius *= 2
+
+
+def voronoi(cells: DataFrame, points: DataFrame, size: float, radius: float) -> DataFrame:
+    """(label, cx, cy, n): the cells of shapes, split among the points by the nearest one to a cell's centre, ties by id."""
+    at = cells.select("cx", "cy").distinct().withColumn("siteId", F.struct("cx", "cy"))
+    at = at.withColumns({"xx": (F.col("cx") + 0.5) * size, "yy": (F.col("cy") + 0.5) * size})
+    near = nearest(points, 1, radius, at).select("a.cx", "a.cy", F.col("b").alias("n"))
+    return cells.join(near, ["cx", "cy"]).select("label", "cx", "cy", "n")
+
+
+def side_filter(points: DataFrame, edges: DataFrame, limit: float = 120.0, share: float = 1.01, group: str = "town") -> DataFrame:
+    """Triangulation edges (town, a, b) that are, in some triangle, under the limit and under `share` times the sum of its other sides.
+
+    Triangles are three edges that close. edges must hold all sides of the triangles wanted.
+    """
+    at = points.select("siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y"))
+    ends = [at.select(F.col("siteId").alias(k), F.col("x").alias(f"{k}x"), F.col("y").alias(f"{k}y")) for k in "ab"]
+    long = edges.join(ends[0], "a").join(ends[1], "b").select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
+    both = cut(long.unionByName(long.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")))
+    first, second = both.select("a", F.col("b").alias("c"), F.col("d").alias("d1")), both.select(F.col("a").alias("c"), "b", F.col("d").alias("d2"))
+    t = long.join(first, "a").join(second, ["c", "b"])
+    ok = t.where((F.col("d") < limit) & (F.col("d") < share * (F.col("d1") + F.col("d2")))).select("a", "b").distinct()
+    return long.join(ok, ["a", "b"], "left_semi")
+
+
+def join_labels(points: DataFrame, labels: DataFrame) -> DataFrame:
+    """points (n, ..) with their label; a point without one is an error."""
+    from mercato.operators.zones import checked_join
+
+    return checked_join(points, labels, "n")
+
+
+def smpc(points: DataFrame, distances: DataFrame, attrs: list[str], eps: float, threshold: float, most: float, group: str = "town") -> tuple[DataFrame, DataFrame]:
+    """(merges, labels): spatially constrained clustering from end to end.
+
+    points: siteId (long), town, xx, yy, attrs. distances: a, b, d, rounded to metres as they
+    are stored. Triangulation edges with a distance under eps join sites; each component's
+    Ward tree is cut. merges: seq, cid0, cid1, mcid, d, size: first a row a site with cid0
+    `0`, then the merges, component by component, whose ids are `m0`, `m1`, .. labels: n,
+    label, ranked from 1 by the smallest site of the cluster.
+    """
+    tri = cut(pruned(delaunay(points, eps, group).select("a", "b"), distances, eps))
+    edges = tri.select(F.col("a").alias("n0"), F.col("b").alias("n1"))
+    p = points.withColumnRenamed("siteId", "n")
+    tree = cut(constrained_ward(p, edges, attrs, threshold, most, merges=True))
+    base = sequential_ids(p.select("n"), "n")
+    singles = base.select("seq", F.lit("0").alias("cid0"), F.col("n").cast("string").alias("cid1"), F.col("n").cast("string").alias("mcid"), F.lit(0.0).alias("d"), F.lit(1).cast("long").alias("size"))
+    number = sequential_ids(tree, "component", "k", then=("seq",))
+    members = cut(_components(p.select("n"), edges))
+    inside = members.select("component", F.row_number().over(Window.partitionBy("component").orderBy("n")).alias("i"), "n").withColumn("i", F.col("i") - 1)
+    sizes = members.groupBy("component").agg(F.count("*").alias("many"))
+    t = number.join(sizes, "component")
+    first = t.groupBy("component").agg(F.min("k").alias("first"))
+    t = t.join(first, "component")
+    for side in ("left", "right"):
+        own = inside.select("component", F.col("i").cast("long").alias(side), F.col("n").cast("string").alias(f"id_{side}"))
+        t = t.join(own, ["component", side], "left")
+        t = t.withColumn(f"id_{side}", F.coalesce(f"id_{side}", F.concat(F.lit("m"), F.col("first") + F.col(side) - F.col("many"))))
+    n = points.count()
+    made = t.select((F.col("k") + n).alias("seq"), F.col("id_left").alias("cid0"), F.col("id_right").alias("cid1"), F.concat(F.lit("m"), F.col("k")).alias("mcid"), "d", "size")
+    found = constrained_ward(p, edges, attrs, threshold, most)
+    heads = sequential_ids(found.select("label").distinct(), "label").select("label", (F.col("seq") + 1).alias("rank"))
+    return singles.unionByName(made), found.join(heads, "label").select("n", F.col("rank").alias("label"))
+
+
+def sub_label(label: Column, sub: Column) -> Column:
+    """A label of two levels: `a-07`."""
+    return F.concat_ws("-", label.cast("string"), F.lpad(sub.cast("string"), 2, "0"))

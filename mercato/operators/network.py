@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.functions.scalars import ROAD_CLASSES, distance, segment_place, speed
 from mercato.operators.grid import cell, covered_cells
@@ -26,6 +26,59 @@ def vertices(placed: DataFrame) -> DataFrame:
     return ends.unionByName(placed.groupBy("node").count().where("count > 1").select("node")).distinct()
 
 
+def _graded(placed: DataFrame, verts: DataFrame) -> DataFrame:
+    """placed with step, prev and cut: the number of the edge that ends at or runs through the node."""
+    v = placed.join(verts.withColumn("isv", F.lit(1)), "node", "left")
+    w = Window.partitionBy("way").orderBy("pos")
+    step = distance(F.col("x"), F.col("y"), F.lag("x").over(w), F.lag("y").over(w))
+    cut_ = F.coalesce(F.sum(F.coalesce("isv", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return v.withColumns({"step": step, "prev": F.struct(F.lag("node").over(w).alias("node"), F.lag("x").over(w).alias("x"), F.lag("y").over(w).alias("y")), "cut": cut_}).where("prev.node is not null")
+
+
+def edge_points(placed: DataFrame, verts: DataFrame) -> DataFrame:
+    """(way, cut, segId, points): the line of each edge, all of its points in order; edges of fewer than two points don't occur."""
+    g = _graded(placed, verts).groupBy("way", "cut").agg(F.sort_array(F.collect_list(F.struct("pos", "node", "x", "y", "prev"))).alias("p"))
+    first = F.col("p")[0]["prev"]
+    points = F.concat(F.array(F.struct(first["x"].alias("x"), first["y"].alias("y"))), F.transform("p", lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y"))))
+    return g.select("way", "cut", F.concat_ws("-", first["node"], F.element_at("p", -1)["node"]).alias("segId"), points.alias("points")).where(F.size("points") >= 2)
+
+
+def line_parts(lines: DataFrame) -> DataFrame:
+    """(segId, part, x0, y0, x1, y1, before, total): the straight parts of lines (segId, points), with the length before each."""
+    p = lines.where(F.size("points") >= 2).select("segId", F.posexplode(F.arrays_zip(F.slice("points", 1, F.size("points") - 1).alias("a"), F.slice("points", 2, F.size("points") - 1).alias("b"))).alias("part", "s"))
+    p = p.select("segId", "part", *(F.col(f"s.{e}.{c}").cast("double").alias(f"{c}{k}") for k, e in enumerate("ab") for c in "xy"))
+    long = distance(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    w = Window.partitionBy("segId").orderBy("part")
+    p = p.withColumn("long", long)
+    before = F.coalesce(F.sum("long").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    return p.withColumns({"before": before, "total": F.sum("long").over(Window.partitionBy("segId"))}).drop("long")
+
+
+def graph_from_osm(nodes: DataFrame, ways: DataFrame, forward) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vertices: id, lon, lat, x, y; edges: a, b, edge_id, length, highway; lines: way, cut, segId, points).
+
+    nodes: node, lon, lat. ways: way, highway, nodes. forward gives x, y of lon, lat columns.
+    """
+    x, y = forward(F.col("lon"), F.col("lat"))
+    spots = nodes.withColumns({"x": x, "y": y})
+    placed = cut(way_nodes(road_ways(ways), spots))
+    verts = cut(vertices(placed))
+    out = spots.join(verts, "node", "left_semi").select(F.col("node").alias("id"), "lon", "lat", "x", "y")
+    return out, graph_edges(cut_edges(placed, verts)), edge_points(placed, verts)
+
+
+def end_nodes(seg_id: str | Column = "segId") -> tuple:
+    """The two node ids of an edge id."""
+    parts = F.split(seg_id, "-")
+    return parts[0], parts[1]
+
+
+def edge_display(verts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(edge_id, length, highway, points): edges as two-point lines between their vertices."""
+    a, b = (verts.select(F.col("id").alias(k), F.struct("x", "y").alias(f"p{k}")) for k in "ab")
+    return edges.join(a, "a").join(b, "b").select("edge_id", "length", "highway", F.array("pa", "pb").alias("points"))
+
+
 def cut_edges(placed: DataFrame, verts: DataFrame) -> DataFrame:
     """(way, cut, edge_id, v0, v1, length, highway): ways cut at vertices, lengths truncated to metres."""
     v = placed.join(verts.withColumn("isv", F.lit(1)), "node", "left")
@@ -46,27 +99,35 @@ def with_time(edges: DataFrame) -> DataFrame:
 
 
 def snap(sites: DataFrame, segments: DataFrame, radius: float = 300.0) -> DataFrame:
-    """(siteId, segId, dist, along): each site's nearest segment, ties by segId.
+    """(siteId, segId, dist, along, len, x, y): each site's nearest segment and the place on it, ties by segId.
 
-    segments: segId, x0, y0, x1, y1. A segment goes to the cells of its box, a site to the
-    nine cells around; sites with nothing in reach are tried again with a doubled radius.
+    segments: segId, x0, y0, x1, y1 for straight ones, or the rows of line_parts for lines:
+    then along and len are those of the whole line. A part goes to the cells of its box, a
+    site to the nine cells around; sites with nothing in reach are tried again with a
+    doubled radius, until it spans everything.
     """
+    if "part" not in segments.columns:
+        long = distance(*(F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")))
+        segments = segments.withColumns({"part": F.lit(0), "before": F.lit(0.0), "total": long})
+    lines = segments.select("segId", "part", *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1", "before", "total")))
     done, left = None, sites.select("siteId", F.col("xx").cast("double").alias("px"), F.col("yy").cast("double").alias("py"))
-    for _ in range(12):
-        near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    ends = lines.select(F.col("x0").alias("x"), F.col("y0").alias("y")).union(lines.select("x1", "y1")).union(left.select("px", "py"))
+    span = ends.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
+    near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    while True:
         at = left.withColumn("i", F.explode(near)).withColumn("j", F.explode(near)).select("siteId", "px", "py", (cell(F.col("px"), radius) + F.col("i")).alias("cx"), (cell(F.col("py"), radius) + F.col("j")).alias("cy"))
-        seg = segments.select("segId", *(F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")))
-        seg = seg.withColumn("c", F.explode(covered_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), radius))).select("segId", "x0", "y0", "x1", "y1", "c.*")
+        seg = lines.withColumn("c", F.explode(covered_cells(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), radius))).select(*lines.columns, "c.*")
         d, t = segment_place(*(F.col(c) for c in ("px", "py", "x0", "y0", "x1", "y1")))
+        x, y = F.col("x0") + F.col("t") * (F.col("x1") - F.col("x0")), F.col("y0") + F.col("t") * (F.col("y1") - F.col("y0"))
         long = distance(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
-        best = at.join(seg, ["cx", "cy"]).select("siteId", "segId", d.alias("dist"), (t * long).alias("along"), long.alias("len")).where(F.col("dist") <= radius)
-        best = cut(best.groupBy("siteId").agg(F.min(F.struct("dist", "segId", "along", "len")).alias("b")).select("siteId", "b.segId", "b.dist", "b.along", "b.len"))
+        best = at.join(seg, ["cx", "cy"]).withColumns({"dist": d, "t": t}).where(F.col("dist") <= radius)
+        found = F.struct("dist", "segId", "part", (F.col("before") + F.col("t") * long).alias("along"), F.col("total").alias("len"), x.alias("x"), y.alias("y"))
+        best = cut(best.groupBy("siteId").agg(F.min(found).alias("b")).select("siteId", "b.segId", "b.dist", "b.along", "b.len", "b.x", "b.y"))
         done = best if done is None else done.unionByName(best)
         left = cut(left.join(best.select("siteId"), "siteId", "left_anti"))
-        if left.isEmpty():
-            break
+        if radius > span or left.isEmpty():
+            return done
         radius *= 2
-    return done
 
 
 def bounded_paths(edges: DataFrame, sources: DataFrame, cutoff: float = 1200.0, max_rounds: int = 500) -> DataFrame:

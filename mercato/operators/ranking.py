@@ -19,14 +19,51 @@ def rank_in_group(df: DataFrame, group: str, bucket: str, order: list[str | Colu
     return df.withColumn("__own", own).join(F.broadcast(base), [group, bucket]).withColumn(name, (F.col("__base") + F.col("__own")).cast("long")).drop("__own", "__base")
 
 
-def sequential_ids(df: DataFrame, order: str, name: str = "seq", buckets: int = 1024) -> DataFrame:
+def sequential_ids(df: DataFrame, order: str, name: str = "seq", buckets: int = 1024, then: tuple[str, ...] = ()) -> DataFrame:
     """df with 0, 1, .. in the order of an integer column, without sorting all rows in one task.
 
-    Values are cut into equal ranges; ties stand in any order.
+    Values are cut into equal ranges; ties stand in the order of `then`, else in any.
     """
     low, high = df.agg(F.min(order), F.max(order)).first()
     if low is None:
         return df.withColumn(name, F.lit(0).cast("long"))
     width = (high - low) // buckets + 1
     df = df.withColumns({"__g": F.lit(0), "__b": F.floor((F.col(order) - low) / width)})
-    return rank_in_group(df, "__g", "__b", [order], name).drop("__g", "__b")
+    return rank_in_group(df, "__g", "__b", [order, *then], name).drop("__g", "__b")
+
+
+def percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]], buckets: int = 4096) -> dict[str, float | None]:
+    """Exact linearly interpolated percentiles, name -> (column, share), nulls left out; None for no values.
+
+    One pass counts the values in equal ranges of each column, a second one sorts only the
+    ranges that hold the wanted ranks; where a range holds many rows it is cut again, so no
+    task gets all values. Equal values in a range are counted, not gathered.
+    """
+    cols = sorted({c for c, _ in wanted.values()})
+    ends = df.agg(*(f(F.col(c).cast("double")).alias(f"{c}{k}") for c in cols for k, f in enumerate((F.min, F.max, F.count)))).first()
+    out = {}
+    for name, (c, share) in wanted.items():
+        low, high, n = (ends[f"{c}{k}"] for k in range(3))
+        if not n:
+            out[name] = None
+            continue
+        at = share * (n - 1)
+        values, found = df.select(F.col(c).cast("double").alias("v")).where("v is not null"), []
+        for rank in sorted({int(at), min(int(at) + 1, n - 1)}):
+            a, b, before, many = low, high, 0, n
+            while many > buckets and b > a:
+                width = (b - a) / buckets
+                place = F.least(F.floor((F.col("v") - a) / width), F.lit(buckets - 1))
+                counts = values.where(F.col("v").between(a, b)).groupBy(place.alias("p")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+                for r in sorted(counts.collect(), key=lambda r: r["p"]):
+                    if before + r["n"] > rank:
+                        break
+                    before += r["n"]
+                a, b, many = r["a"], r["b"], r["n"]
+            for r in values.where(F.col("v").between(a, b)).groupBy("v").agg(F.count("*").alias("n")).orderBy("v").collect():  # at most `buckets` values, or one
+                if before + r["n"] > rank:
+                    found.append(r["v"])
+                    break
+                before += r["n"]
+        out[name] = found[0] + (found[-1] - found[0]) * (at - int(at))
+    return out

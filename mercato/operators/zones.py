@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.functions.scalars import UNKNOWN_CATEGORY, clipped_line, distance, forced_code, kernel, saturating
-from mercato.operators.grid import grid_join
-from mercato.operators.ranking import sequential_ids
+from mercato.operators.grid import cell, grid_join
+from mercato.operators.ranking import percentiles, sequential_ids
 
 
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -37,6 +37,21 @@ def sites(biz: DataFrame) -> DataFrame:
     return g.select((F.col("seq") + 1).cast("string").alias("siteId"), "f.xx", "f.yy", F.col("f.pid").alias("first_pid"), "f.town", "n", "rx", "ry")
 
 
+def site_list(biz: DataFrame) -> DataFrame:
+    """sites with the first business's own lon and lat, though x and y may come from a geocode, and all ids in their order."""
+    g = biz.groupBy(F.bround("xx").alias("rx"), F.bround("yy").alias("ry")).agg(F.min("k").alias("k0"), F.min_by(F.struct("lon", "lat", "xx", "yy"), "k").alias("f"), F.sort_array(F.collect_list(F.struct("k", "pid"))).alias("ids"))
+    g = sequential_ids(g, "k0")
+    return g.select((F.col("seq") + 1).cast("string").alias("siteId"), "f.*", F.transform("ids", lambda s: s["pid"]).alias("bizIds"))
+
+
+def checked_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """An inner join in which a row of the left without a partner is an error."""
+    lost = left.join(right.select(on), on, "left_anti").select(on).first()
+    if lost is not None:
+        raise ValueError(f"no {on} {lost[0]!r} in the table looked up")
+    return left.join(right, on)
+
+
 def site_lookup(biz: DataFrame, found: DataFrame) -> DataFrame:
     return biz.withColumns({"rx": F.bround("xx"), "ry": F.bround("yy")}).join(found.select("siteId", "rx", "ry"), ["rx", "ry"]).select("siteId", F.col("pid").alias("bizId"))
 
@@ -54,10 +69,64 @@ def density(points: DataFrame, cutoff: float = 600.0) -> DataFrame:
     return p.groupBy(F.col("a").alias("siteId")).agg(F.sum(kernel(F.col("d"))).alias("density"))
 
 
+def pair_density(sites: DataFrame, pairs: DataFrame, cutoff: float = 600.0) -> DataFrame:
+    """(siteId, density, density_r1): kernel sums over the pair table, each site itself once; sites without a pair have 0.
+
+    pairs: siteId0, siteId1, distance, unordered, with or without self pairs. density_r1 has
+    one decimal, as stored between stages; factors take the unrounded one.
+    """
+    near = pairs.where(F.col("distance") < cutoff).withColumn("k", kernel(F.col("distance")))
+    both = near.select(F.col("siteId0").alias("siteId"), "k").unionByName(near.where("siteId0 <> siteId1").select(F.col("siteId1").alias("siteId"), "k"))
+    sums = both.groupBy("siteId").agg(F.sum("k").alias("density"))
+    out = sites.select("siteId").join(sums, "siteId", "left").withColumn("density", F.coalesce("density", F.lit(0.0)))
+    return out.withColumn("density_r1", F.bround("density", 1))
+
+
+def ba_distances(pairs: DataFrame, ba_sites: DataFrame, box: float = 400.0) -> DataFrame:
+    """(siteId0, siteId1, distance): pairs of ba sites within the box, in both orders, self pairs once, distance without decimals.
+
+    It starts from the pair table, which is sparser than the box.
+    """
+    at = lambda n: ba_sites.select(F.col("siteId").alias(f"siteId{n}"), F.col("xx").alias(f"x{n}"), F.col("yy").alias(f"y{n}"))
+    j = pairs.join(at(0), "siteId0").join(at(1), "siteId1").where((F.abs(F.col("x0") - F.col("x1")) <= box) & (F.abs(F.col("y0") - F.col("y1")) <= box))
+    one = j.select("siteId0", "siteId1", F.bround("distance", 0).alias("distance"))
+    return one.unionByName(one.where("siteId0 <> siteId1").select(F.col("siteId1").alias("siteId0"), F.col("siteId0").alias("siteId1"), "distance"))
+
+
+def with_density(ba_sites: DataFrame, dense: DataFrame) -> DataFrame:
+    """ba sites with the stored density of theirs as an attribute."""
+    return ba_sites.join(dense.select("siteId", F.col("density_r1").alias("density")), "siteId")
+
+
+def attribute(biz: DataFrame, pairs: DataFrame, name: str, predicate: Column, weight=kernel, cutoff: float = 500.0) -> DataFrame:
+    """(siteId, name): one attribute from businesses (siteId, ..) that a predicate keeps and a weight of the distance.
+
+    pairs as in attributes: both directions are taken, so a site counts twice for itself.
+    """
+    counts = biz.where(predicate).groupBy("siteId").agg(F.count("*").alias("n"))
+    near = pairs.where(F.col("d") < cutoff)
+    both = near.select(F.col("siteId0").alias("to"), F.col("siteId1").alias("siteId"), "d").unionByName(near.select(F.col("siteId1").alias("to"), F.col("siteId0").alias("siteId"), "d"))
+    return both.join(counts, "siteId").groupBy(F.col("to").alias("siteId")).agg(F.sum(F.col("n") * weight(F.col("d"))).alias(name))
+
+
+def of_known_sites(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    return rows.join(sites.select("siteId"), "siteId", "left_semi")
+
+
+def labels_around(points: DataFrame, labelled: DataFrame, margin: float = 1000.0) -> DataFrame:
+    """(label, siteId, xx, yy): points within the box of each label's points, widened by a margin."""
+    box = labelled.groupBy("label").agg(F.min("xx").alias("x0"), F.max("xx").alias("x1"), F.min("yy").alias("y0"), F.max("yy").alias("y1"))
+    span = lambda a, b: F.sequence(cell(F.col(a) - margin, margin), cell(F.col(b) + margin, margin))
+    own = box.withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
+    at = points.select("siteId", "xx", "yy", cell(F.col("xx"), margin).alias("cx"), cell(F.col("yy"), margin).alias("cy"))
+    inside = F.col("xx").between(F.col("x0") - margin, F.col("x1") + margin) & F.col("yy").between(F.col("y0") - margin, F.col("y1") + margin)
+    return own.join(at, ["cx", "cy"]).where(inside).select("label", "siteId", "xx", "yy")
+
+
 def density_factor(dense: DataFrame) -> DataFrame:
     """dense with factor: density between its 20th and 80th percentile rescaled to 0.2 .. 1."""
-    p = dense.agg(F.percentile("density", 0.2).alias("lo"), F.percentile("density", 0.8).alias("hi"))
-    return dense.crossJoin(F.broadcast(p)).withColumn("factor", clipped_line(F.col("density"), F.col("lo"), F.col("hi"))).drop("lo", "hi")
+    p = percentiles(dense, {"lo": ("density", 0.2), "hi": ("density", 0.8)})
+    return dense.withColumn("factor", clipped_line(F.col("density"), F.lit(p["lo"]), F.lit(p["hi"])))
 
 
 def attributes(flags: DataFrame, pairs: DataFrame, names: list[str], cutoff: float = 500.0) -> DataFrame:
@@ -74,9 +143,8 @@ def attributes(flags: DataFrame, pairs: DataFrame, names: list[str], cutoff: flo
 
 def rescaled(sums: DataFrame, names: list[str]) -> DataFrame:
     """Each attribute as 1 - exp(-v / its 90th percentile)."""
-    p = sums.agg(*(F.percentile(n, 0.9).alias(f"__{n}") for n in names))
-    j = sums.crossJoin(F.broadcast(p))
-    return j.select("siteId", *(saturating(F.col(n), F.col(f"__{n}")).alias(n) for n in names))
+    p = percentiles(sums, {n: (n, 0.9) for n in names})
+    return sums.select("siteId", *(saturating(F.col(n), F.lit(p[n])).alias(n) for n in names))
 
 
 def scaled_distances(pairs: DataFrame, factors: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from mercato.functions import scalars as S
 from mercato.functions.projection import TransverseMercator
-from mercato.operators import cells as C, clusters as K, network as N, zones as Z
+from mercato.operators import areas as A, cells as C, clusters as K, network as N, zones as Z
 from mercato.operators.components import connected_components
 from mercato.operators.grid import grid_join
-from mercato.operators.ranking import sequential_ids
+from mercato.operators.ranking import percentiles, sequential_ids
 from mercato.plans import fixtures as X
 from mercato.session import cut, table
 
@@ -89,6 +89,7 @@ def _placed(s, d):
 
 
 def _blob(s, d):
+    """Cells of every third site of each town: a test table with gaps, not a sample of a result."""
     return C.of_points(_sites(s, d).where(F.col("siteId").cast("long") % 3 == 0), 100, "town")
 
 
@@ -176,12 +177,9 @@ def p2_unproject(s, d):
 
 @query("SELECT lon, lat, printf('%.1f,%.1f,%.1f,%.1f', lat / 10.0, lon / 10.0, (lat + 1) / 10.0, (lon + 1) / 10.0) AS box, 'roads_' || abs(lon) || '_' || abs(lat) || '.json' AS file FROM (SELECT unnest(range(floor(min(-122.63 + xx / 75600.0) * 10)::BIGINT, ceil(max(-122.63 + xx / 75600.0) * 10)::BIGINT)) AS lon FROM biz), (SELECT unnest(range(floor(min(47.09 + yy / 111200.0) * 10)::BIGINT, ceil(max(47.09 + yy / 111200.0) * 10)::BIGINT)) AS lat FROM biz)")
 def pg15_tiles(s, d):
-    b = X.lonlat(X.biz(s, d)).agg(*(f(c).alias(n) for n, f, c in (("a", F.min, "lon"), ("b", F.max, "lon"), ("c", F.min, "lat"), ("e", F.max, "lat"))))
-    lo = lambda c: F.floor(F.col(c) * 10)
-    hi = lambda c: F.ceil(F.col(c) * 10) - 1
-    t = b.select(F.explode(F.sequence(lo("a"), hi("b"))).alias("lon"), F.sequence(lo("c"), hi("e")).alias("l")).select("lon", F.explode("l").alias("lat"))
-    box = F.format_string("%.1f,%.1f,%.1f,%.1f", *((c / 10).cast("double") for c in (F.col("lat"), F.col("lon"), F.col("lat") + 1, F.col("lon") + 1)))
-    return t.select("lon", "lat", box.alias("box"), F.format_string("roads_%d_%d.json", F.abs("lon"), F.abs("lat")).alias("file"))
+    box = X.lonlat(X.biz(s, d)).agg(F.min("lon").alias("lon0"), F.max("lon").alias("lon1"), F.min("lat").alias("lat0"), F.max("lat").alias("lat1"))
+    at = F.col("lon"), F.col("lat")
+    return A.tiles(box).select("lon", "lat", A.tile_box(*at).alias("box"), A.tile_file(*at).alias("file"))
 
 
 # filters
@@ -190,10 +188,8 @@ _RING = [(1000, 1000), (16000, 500), (21000, 9000), (12000, 20000), (9000, 11000
 
 @query("SELECT pid FROM biz, (SELECT * FROM (VALUES " + ",".join(f"({a[0]},{a[1]},{b[0]},{b[1]})" for a, b in zip(_RING, _RING[1:] + _RING[:1])) + ") v(x0, y0, x1, y1)) WHERE (y0 > yy) <> (y1 > yy) AND xx < (x1 - x0) * (yy - y0)::DOUBLE / (y1 - y0) + x0 GROUP BY pid HAVING count(*) % 2 = 1")
 def f1_point_in_polygon(s, d):
-    x, y, odd = F.col("xx"), F.col("yy"), F.lit(0)
-    for (x0, y0), (x1, y1) in zip(_RING, _RING[1:] + _RING[:1]):
-        odd = odd + F.when(((y0 > y) != (y1 > y)) & (x < (y - y0) * (x1 - x0) / (y1 - y0) + x0), 1).otherwise(0)
-    return X.biz(s, d).where(odd % 2 == 1).select("pid")
+    ring = s.createDataFrame([(0, 0, k, float(x), float(y)) for k, (x, y) in enumerate(_RING)], "area int, ring int, seq int, x double, y double")
+    return A.points_inside(X.biz(s, d).select("pid", "xx", "yy"), ring).select("pid")
 
 
 @query("SELECT b.pid, CASE WHEN sqrt(pow(xx - x, 2) + pow(yy - y, 2)) < 50 THEN x END AS gx, CASE WHEN sqrt(pow(xx - x, 2) + pow(yy - y, 2)) < 50 THEN y END AS gy FROM biz b LEFT JOIN geocode g ON g.key = coalesce(address, '') || ', ' || city")
@@ -254,20 +250,17 @@ def j13_box_pairs(s, d):
 
 @query("SELECT DISTINCT b.label AS blob, p.label AS parcel FROM blob b JOIN parcel p ON b.cx = p.cx AND b.cy = p.cy")
 def j16_parcel_blob(s, d):
-    return _blob(s, d).withColumnRenamed("label", "blob").join(_parcel(s, d).withColumnRenamed("label", "parcel"), ["cx", "cy"]).select("blob", "parcel").distinct()
+    return A.touching(_blob(s, d), _parcel(s, d)).select(F.col("a").alias("blob"), F.col("b").alias("parcel"))
 
 
 @query("SELECT b.label, count(s.siteId)::BIGINT AS n FROM blob b LEFT JOIN site s ON floor(s.xx / 100.0) = b.cx AND floor(s.yy / 100.0) = b.cy GROUP BY 1")
 def j18_points_in_area(s, d):
-    p = _sites(s, d).select("siteId", F.floor(F.col("xx") / 100).alias("cx"), F.floor(F.col("yy") / 100).alias("cy"))
-    return _blob(s, d).join(p, ["cx", "cy"], "left").groupBy("label").agg(F.count("siteId").alias("n"))
+    return A.points_in(_blob(s, d), _sites(s, d), 100)
 
 
 @query("SELECT DISTINCT label, label IN (SELECT b.label FROM blob b JOIN parcel p ON b.cx = p.cx AND b.cy = p.cy WHERE p.label = 2) AS residential FROM blob")
 def j19_residential(s, d):
-    b = _blob(s, d)
-    yes = b.join(_parcel(s, d).where("label = 2").select("cx", "cy"), ["cx", "cy"], "left_semi").select("label").distinct().withColumn("residential", F.lit(True))
-    return b.select("label").distinct().join(yes, "label", "left").select("label", F.coalesce("residential", F.lit(False)).alias("residential"))
+    return A.meets(_blob(s, d), _parcel(s, d).where("label = 2"), "residential")
 
 
 @query("SELECT p.label AS parcel, s.town AS label, count(DISTINCT s.siteId)::BIGINT AS n FROM site s JOIN parcel p ON floor(s.xx / 100.0) = p.cx AND floor(s.yy / 100.0) = p.cy GROUP BY 1, 2")
@@ -316,7 +309,8 @@ def g5_attributes(s, d):
 
 @query("SELECT round(lo, 6) AS lo, round(hi, 6) AS hi FROM pct")
 def g6_percentiles(s, d):
-    return Z.density(_sites(s, d)).agg(F.round(F.percentile("density", 0.2), 6).alias("lo"), F.round(F.percentile("density", 0.8), 6).alias("hi"))
+    p = percentiles(cut(Z.density(_sites(s, d))), {"lo": ("density", 0.2), "hi": ("density", 0.8)})
+    return s.range(1).select(F.round(F.lit(p["lo"]), 6).alias("lo"), F.round(F.lit(p["hi"]), 6).alias("hi"))
 
 
 @query("SELECT least(a, b) AS siteId0, greatest(a, b) AS siteId1, round(min(d + (na % 5)), 4) AS d FROM pairs WHERE box <= 200 GROUP BY 1, 2")
@@ -350,18 +344,18 @@ def g20_last_edge(s, d):
 # scaling
 @query("SELECT siteId, round(factor, 6) AS factor FROM factor")
 def p15_density_factor(s, d):
-    return Z.density_factor(Z.density(_sites(s, d))).select("siteId", _r("factor", 6))
+    return Z.density_factor(cut(Z.density(_sites(s, d)))).select("siteId", _r("factor", 6))
 
 
-@query(_ATTR + "SELECT siteId, " + ", ".join(f"round(CASE WHEN (SELECT quantile_cont({f}, 0.9) FROM sums) = 0 THEN CASE WHEN {f} > 0 THEN 1.0 ELSE 'NaN'::DOUBLE END ELSE 1 - exp(-{f} / (SELECT quantile_cont({f}, 0.9) FROM sums)) END, 5) AS {f}" for f in _NAMES[:4]) + " FROM sums")
+@query(_ATTR + "SELECT siteId, " + ", ".join(f"round(CASE WHEN (SELECT quantile_cont({f}, 0.9) FROM sums) = 0 THEN CASE WHEN {f} > 0 THEN 1.0 ELSE 'NaN'::DOUBLE END ELSE 1 - exp(-{f} / (SELECT quantile_cont({f}, 0.9) FROM sums)) END, 5) AS {f}" for f in _NAMES) + " FROM sums")
 def p16_attribute_rescale(s, d):
-    names = _NAMES[:4]
-    return Z.rescaled(Z.attributes(_flag_counts(s, d), _half(s, d), names), names).select("siteId", *(_r(f, 5) for f in names))
+    names = _NAMES
+    return Z.rescaled(cut(Z.attributes(_flag_counts(s, d), _half(s, d), names)), names).select("siteId", *(_r(f, 5) for f in names))
 
 
 @query("SELECT s0 AS siteId0, s1 AS siteId1, round(greatest(f.factor, g.factor) * d, 4) AS d FROM half JOIN factor f ON f.siteId = s0 JOIN factor g ON g.siteId = s1")
 def p17_scaled_distance(s, d):
-    f = cut(Z.density_factor(Z.density(_sites(s, d))))
+    f = Z.density_factor(cut(Z.density(_sites(s, d))))
     return Z.scaled_distances(_half(s, d), f).select("siteId0", "siteId1", _r("d"))
 
 
@@ -377,14 +371,32 @@ def w2_sequence(s, d):
     return sequential_ids(X.biz(s, d).select("k"), "k")
 
 
-@query()
+_TIMES = """, timed AS (SELECT segId, a, b, length / CASE WHEN highway IN ('primary', 'secondary') THEN 1.5 WHEN highway = 'residential' THEN 0.5 ELSE 1.0 END AS time FROM edge),
+hop AS (SELECT a AS node, b AS to_, time FROM timed UNION ALL SELECT b, a, time FROM timed)
+"""
+
+
+def _paths(src: str) -> str:
+    """Least times by a recursion that keeps one row a (src, node) and follows the improved ones."""
+    return _TIMES + f""", path(src, node, cost) USING KEY (src, node) AS (SELECT node, node, 0.0::DOUBLE FROM ({src}) UNION
+(SELECT n.src, n.node, n.cost FROM (SELECT p.src, h.to_ AS node, min(p.cost + h.time) AS cost FROM path p JOIN hop h ON h.node = p.node WHERE p.cost + h.time <= 1200 GROUP BY 1, 2) n LEFT JOIN recurring.path o ON o.src = n.src AND o.node = n.node WHERE o.cost IS NULL OR n.cost < o.cost))
+"""
+
+
+@query(_paths("SELECT a AS node FROM edge UNION SELECT b FROM edge") + "SELECT src, node, round(cost, 4) AS time FROM path")
 def n2_bounded_paths(s, d):
     e = N.with_time(X.edges(s, d)).select("a", "b", "time")
     src = e.select(F.col("a").alias("node")).unionByName(e.select(F.col("b").alias("node")))
     return N.bounded_paths(e, src).select("src", "node", _r("time"))
 
 
-@query()
+_ROAD = _SNAP.rstrip() + """, ends AS (SELECT s.siteId, s.segId, e.a AS node, s.along AS part FROM snapped s JOIN edge e USING (segId) UNION ALL SELECT s.siteId, s.segId, e.b, e.length - s.along FROM snapped s JOIN edge e USING (segId))
+""" + _paths("SELECT DISTINCT node FROM ends").rstrip() + """, roaddist AS (SELECT siteId0, siteId1, min(d) AS d FROM (SELECT least(s.siteId, t.siteId) AS siteId0, greatest(s.siteId, t.siteId) AS siteId1, s.part + p.cost + t.part AS d FROM path p JOIN ends s ON s.node = p.src JOIN ends t ON t.node = p.node WHERE s.siteId <> t.siteId AND s.segId <> t.segId) GROUP BY 1, 2
+UNION ALL SELECT a.siteId, b.siteId, abs(a.along - b.along) FROM snapped a JOIN snapped b ON a.segId = b.segId AND a.siteId <= b.siteId)
+"""
+
+
+@query(_ROAD + "SELECT siteId0, siteId1, round(d, 1) AS distance FROM roaddist")
 def n3_site_distance(s, d):
     e = N.with_time(X.edges(s, d))
     return N.site_distances(cut(N.snap(_sites(s, d), e)), e.select("segId", "a", "b", "time")).select("siteId0", "siteId1", F.round("distance", 1).alias("distance"))
@@ -459,12 +471,17 @@ def m5_dbscan(s, d):
     return K.dbscan(cut(e), p.select(F.col("siteId").alias("n")))
 
 
-@query(_TRI + "SELECT a, b FROM tri WHERE d < 120")
+_SIDES = _TRI.rstrip() + """, two AS (SELECT a, b, d FROM tri UNION ALL SELECT b, a, d FROM tri),
+kept AS (SELECT DISTINCT t.a, t.b FROM tri t JOIN two x ON x.a = t.a JOIN two y ON y.a = x.b AND y.b = t.b WHERE t.d < 120 AND t.d < 1.01 * (x.d + y.d))
+"""
+
+
+@query(_SIDES + "SELECT a, b FROM kept")
 def m6_connectivity(s, d):
-    return _tri(s, d, 150.0)[1].where("d < 120").select("a", "b")
+    return K.side_filter(_numbered(s, d), cut(_tri(s, d, 150.0)[1].select("a", "b"))).select("a", "b")
 
 
-@query("SELECT a, b, rank FROM (SELECT na AS a, nb AS b, row_number() OVER (PARTITION BY na ORDER BY d, nb)::INTEGER AS rank FROM pairs WHERE box <= 400 AND na <> nb) WHERE rank <= 4")
+@query("SELECT a, b, rank FROM (SELECT a.num AS a, b.num AS b, row_number() OVER (PARTITION BY a.num ORDER BY sqrt((a.xx - b.xx) * (a.xx - b.xx)::DOUBLE + (a.yy - b.yy) * (a.yy - b.yy)::DOUBLE), b.num)::INTEGER AS rank FROM site a JOIN site b ON a.num <> b.num) WHERE rank <= 4")
 def m7_knn(s, d):
     return K.nearest(_numbered(s, d), 4, 400).select("a", "b", "rank")
 
@@ -511,8 +528,7 @@ def pg4_round_merge(s, d):
 
 @query("SELECT b.label AS a, p.label AS b, count(*) * 10000::BIGINT AS area FROM blob b JOIN parcel p ON b.cx = p.cx AND b.cy = p.cy GROUP BY 1, 2")
 def pg5_overlap_area(s, d):
-    j = _blob(s, d).withColumnRenamed("label", "a").join(_parcel(s, d).withColumnRenamed("label", "b"), ["cx", "cy"])
-    return j.groupBy("a", "b").agg((F.count("*") * 10000).alias("area"))
+    return A.overlap_area(_blob(s, d), _parcel(s, d), 100).select("a", "b", F.col("area").cast("long").alias("area"))
 
 
 @query()

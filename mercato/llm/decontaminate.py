@@ -20,10 +20,10 @@ from mercato.llm.text_sql import NOT_WORD, ahead, joined, lower_ascii, lower_of,
 from mercato.session import cut, table
 
 WINDOW, GRAM = 10, 5
-#: Up to so many benchmark windows (about 100 bytes each) the join is a broadcast join and a
-#: bitmap of their fingerprints thins the documents' before they are unnested; beyond, both
-#: sides are shuffled.
-BROADCAST_FINGERPRINTS = 50_000
+#: Up to so many benchmark windows, whose words and item ids take at most so many bytes, the
+#: join is a broadcast join and a bitmap of their fingerprints thins the documents' before
+#: they are unnested; beyond, both sides are shuffled.
+BROADCAST_FINGERPRINTS, BROADCAST_BYTES = 50_000, 32_000_000
 
 
 def _grams(df: DataFrame) -> DataFrame:
@@ -91,8 +91,9 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     aren't read.
     """
     bench = cut(benchmark_windows(items))
-    size = bench.agg(F.count("*").alias("n"), F.collect_set(F.when(F.col("n") < WINDOW, F.col("n"))).alias("short")).first()
-    small = size["n"] <= BROADCAST_FINGERPRINTS
+    held = 32 + 8 * F.col("n") + F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 16)
+    size = bench.agg(F.count("*").alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("bytes"), F.collect_set(F.when(F.col("n") < WINDOW, F.col("n"))).alias("short")).first()
+    small = size["n"] <= BROADCAST_FINGERPRINTS and size["bytes"] <= BROADCAST_BYTES
     known = {n: [r["fp"] for r in bench.where((F.col("n") == n) if n < WINDOW else (F.col("n") >= n)).select("fp").distinct().collect()] for n in [WINDOW, *size["short"]]} if small else {}
 
     df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), words(lower_ascii(F.coalesce(F.col(text_col), F.lit(""))), NOT_WORD).alias("w"))
@@ -106,7 +107,8 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     if small:
         runs = F.filter(runs, lambda r: _maybe(r["fp"], known[WINDOW]))
     found = F.transform(runs, lambda r: F.struct(r["fp"].alias("fp"), r["s"].alias("s"), F.slice("h", r["s"], r["e"] - r["s"] + WINDOW - 1).alias("around")))
-    parts = [F.array(F.struct(F.lit(0).cast("long").alias("fp"), F.lit(0).alias("s"), F.array().cast("array<bigint>").alias("around"))), found]
+    # each document's marker row (s = 0) meets no window; a hash of its own spreads the markers where the join is by fp
+    parts = [F.array(F.struct(F.xxhash64("doc_id", "text_hash").alias("fp"), F.lit(0).alias("s"), F.array().cast("array<bigint>").alias("around"))), found]
     for n in sorted(size["short"]):
         df = df.withColumn(f"short{n}", _gram(n))
         parts.append(_short_places(n, known.get(n)))

@@ -41,11 +41,11 @@ def test_hits_against_brute_force(spark):
     frame = spark.createDataFrame([(*d, "f", "i", 1) for d in docs], DOCS)
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = sorted((str(i), *brute_hits(t, items)) for i, t in docs)
-    for limit in (50_000, 0):
-        decontaminate.BROADCAST_FINGERPRINTS = limit
+    for limit, size in ((50_000, 32_000_000), (0, 32_000_000), (50_000, 100)):
+        decontaminate.BROADCAST_FINGERPRINTS, decontaminate.BROADCAST_BYTES = limit, size
         got = decontaminate.hits(frame, bench).drop("text_hash").collect()
         assert sorted((str(g[0]), *g[1:]) for g in got) == want
-    decontaminate.BROADCAST_FINGERPRINTS = 50_000
+    decontaminate.BROADCAST_FINGERPRINTS, decontaminate.BROADCAST_BYTES = 50_000, 32_000_000
     kept = decontaminate.remove_contaminated(frame, bench)
     assert kept.columns == frame.columns
     assert sorted(str(x.doc_id) for x in kept.collect()) == sorted(w[0] for w in want if not w[5])

@@ -22,8 +22,8 @@ from mercato.llm.text_sql import ASCII_SPACE, ahead, joined, words
 from mercato.session import cut, table
 
 LANES = 0x0000000100000001
-#: Documents of one bucket of neighbours, and the most buckets.
-BUCKET_ROWS, MOST_BUCKETS = 2000, 4096
+#: Documents of one bucket of neighbours, and the most buckets: beyond 131 million documents buckets grow.
+BUCKET_ROWS, MOST_BUCKETS = 2000, 65_536
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -79,18 +79,23 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     n, low = docs.agg(F.count("*"), F.min(ident)).first()
     parts = min(MOST_BUCKETS, max(1, ceil(n / BUCKET_ROWS)))
+    fixed = lambda some, kind: F.expr(f"cast(split('{','.join(map(str, some))}', ',') as array<{kind}>)")  # noqa: E731  one literal, not one node a value
     inner = [k / parts for k in range(1, parts)]
-    found = docs.agg(F.percentile_approx(ident, F.lit(inner), F.lit(20 * MOST_BUCKETS))).first()[0] if inner else []
+    found = docs.agg(F.percentile_approx(ident, fixed(inner, "double"), F.lit(max(10_000, 20 * parts)))).first()[0] if inner else []
     cuts = sorted({low or 0, *(found or [])})
-    at = F.lit(cuts)
-    own = F.size(F.filter(at, lambda c: c <= F.col("i"))) - 1
+    # looked up in two steps, among the first cuts of runs of `run` cuts, then in the run
+    run = ceil(len(cuts) ** 0.5)
+    at, heads = fixed(cuts, "bigint"), fixed(cuts[::run], "bigint")
+    below = lambda some: F.size(F.filter(some, lambda c: c <= F.col("i")))
+    start = (below(heads) - 1) * run
+    own = F.col("start") + below(F.slice(at, F.col("start") + 1, F.lit(run))) - 1
     first = F.get(at, F.col("own")) == F.col("i")
     homes = F.array(
         F.struct(F.col("own").alias("bucket"), F.lit(0).alias("tail")),
         F.when(first & (F.col("own") > 0), F.struct((F.col("own") - 1).alias("bucket"), F.lit(1).alias("tail"))),
         F.when(first & (F.col("own") == 0), F.struct(F.lit(len(cuts) - 1).alias("bucket"), F.lit(1).alias("tail"))),
     )
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), ident.alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("own", own)
+    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), ident.alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("start", start).withColumn("own", own)
     df = df.select("doc_id", "i", "text", F.xxhash64("text").alias("h"), F.explode(F.array_compact(homes)).alias("home"))
     w = Window.partitionBy("bucket").orderBy("tail", "i", "h")
     return df.select("doc_id", "i", "text", "h", "home.*").select("bucket", F.row_number().over(w).alias("place"), (F.col("tail") == 1).alias("tail"), "doc_id", "text", F.coalesce(F.lead("text").over(w), F.lit("")).alias("next"))

@@ -22,10 +22,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercato.llm import chain
-from mercato.session import cut, shared_dir, table
+from mercato.session import shared_dir, table
 
 STATES, ROUNDS = 6, 4
 WORDS, CLASSES = 8000, 8000
@@ -119,8 +119,13 @@ def symbols(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     blocks(docs).write.parquet(f"{folder}/blocks")
     held = spark.read.parquet(f"{folder}/blocks")
     local = held.where("word_hash is not null").select("word_hash", "block", "local", "class", "n_train")
-    places = F.collect_list(F.struct("block", "local"))  # at most one a block
-    total = cut(local.groupBy("word_hash").agg(F.sum("n_train").alias("c"), F.min("class").alias("class"), places.alias("at")))
+    w = Window.partitionBy("word_hash").orderBy("block", "local")
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # a word is a row a block, never a list of its blocks: frequent words are in all of them
+    count, kind = F.sum("n_train").over(every).alias("c"), F.min("class").over(every).alias("class")
+    local.select("word_hash", "block", "local", count, kind, (F.row_number().over(w) == 1).alias("once")).write.parquet(f"{folder}/counts")
+    counts = spark.read.parquet(f"{folder}/counts")
+    total = counts.where("once").select("word_hash", "c", "class")
     end = _word_hash(END)
     seen = total.where("c > 0")
     n, v, once = seen.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
@@ -144,7 +149,7 @@ def symbols(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     unigram[_UNSEEN] = unseen
     below = np.log10(n + 0.1 * (v + 1))
 
-    back = named.select(F.explode("at").alias("at"), "c", "class", F.when(F.col("word_hash") == end, _END).otherwise(F.col("own")).alias("own")).select("at.block", "at.local", "c", "class", "own")
+    back = counts.join(F.broadcast(frame), "word_hash", "left").select("block", "local", "c", "class", F.when(F.col("word_hash") == end, _END).otherwise(F.col("own")).alias("own"))
     texts = held.where("ids is not null").select("block", "doc_id", "held_out", "ids")
 
     def look_up(d: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:

@@ -116,14 +116,14 @@ def symbols(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """
     spark = docs.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/lm-{uuid.uuid4().hex}"
-    blocks(docs).write.parquet(f"{folder}/blocks")
+    blocks(docs).write.parquet(f"{folder}/blocks", compression="zstd")
     held = spark.read.parquet(f"{folder}/blocks")
     local = held.where("word_hash is not null").select("word_hash", "block", "local", "class", "n_train")
     w = Window.partitionBy("word_hash").orderBy("block", "local")
     every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a word is a row a block, never a list of its blocks: frequent words are in all of them
     count, kind = F.sum("n_train").over(every).alias("c"), F.min("class").over(every).alias("class")
-    local.select("word_hash", "block", "local", count, kind, (F.row_number().over(w) == 1).alias("once")).write.parquet(f"{folder}/counts")
+    local.select("word_hash", "block", "local", count, kind, (F.row_number().over(w) == 1).alias("once")).write.parquet(f"{folder}/counts", compression="zstd")
     counts = spark.read.parquet(f"{folder}/counts")
     total = counts.where("once").select("word_hash", "c", "class")
     end = _word_hash(END)
@@ -170,7 +170,7 @@ def symbols(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         return out.astype({"doc_id": "Int64"})
 
     done = texts.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(look_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, inner double, s binary")
-    done.write.parquet(f"{folder}/symbols")
+    done.write.parquet(f"{folder}/symbols", compression="zstd")
     return spark.read.parquet(f"{folder}/symbols"), unigram
 
 

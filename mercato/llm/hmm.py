@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mercato.llm import chain
-from mercato.session import shared_dir, table
+from mercato.session import remove_dir, shared_dir, table
 
 STATES, ROUNDS = 6, 4
 WORDS, CLASSES = 8000, 8000
@@ -171,6 +171,8 @@ def symbols(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     done = texts.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(look_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, inner double, s binary")
     done.write.parquet(f"{folder}/symbols", compression="zstd")
+    for done_with in ("blocks", "counts"):
+        remove_dir(spark, f"{folder}/{done_with}")
     return spark.read.parquet(f"{folder}/symbols"), unigram
 
 

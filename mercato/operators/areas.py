@@ -28,9 +28,11 @@ def sides(rings: DataFrame) -> DataFrame:
     return s.where("x0 <> x1 or y0 <> y1")
 
 
-def points_inside(points: DataFrame, rings: DataFrame, strip: float = 1000.0, x: str = "xx", y: str = "yy") -> DataFrame:
+def points_inside(points: DataFrame, rings: DataFrame, strip: float = 1000.0, x: str = "xx", y: str = "yy", half_open: bool = False) -> DataFrame:
     """points with the area they lie strictly inside, a row an area; points on an outline are outside.
 
+    half_open: a point on an outline belongs to the area to its right (above it on a level
+    side), so areas that share a side share no point and lose none.
     Sides and points meet by strips of y, so a point is compared with the sides of its strip alone.
     """
     s = sides(rings).withColumn("strip", F.explode(F.sequence(cell(F.least("y0", "y1"), strip), cell(F.greatest("y0", "y1"), strip))))
@@ -42,7 +44,7 @@ def points_inside(points: DataFrame, rings: DataFrame, strip: float = 1000.0, x:
     right = spans & F.when(F.col("y1") > F.col("y0"), cross > 0).otherwise(cross < 0)
     names = points.columns
     hit = j.groupBy(*names, "area").agg(F.sum(right.cast("int")).alias("odd"), F.max(on.cast("int")).alias("rim"))
-    return hit.where("odd % 2 = 1 and rim = 0").select(*names, "area")
+    return hit.where("odd % 2 = 1" if half_open else "odd % 2 = 1 and rim = 0").select(*names, "area")
 
 
 def cells_of(rings: DataFrame, size: float) -> DataFrame:

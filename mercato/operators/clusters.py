@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,28 +11,68 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.functions.scalars import distance
 from mercato.operators.components import connected_components
-from mercato.operators.grid import grid_join
+from mercato.operators.grid import first_radius, grid_join
 from mercato.operators.ranking import sequential_ids
 from mercato.session import cut
 
 
+#: Directions from a point; a half disc over an edge holds BESIDE of them, next to the edge's own, to half its length (in all at most sixty degrees).
+SECTORS, BESIDE = 24, 3
+
+
+def _candidates(p: DataFrame, radius: float, first: float, group: str) -> DataFrame:
+    """(group, a, b, ax, ay, bx, by), a < b: pairs in the box of +-radius that can be Delaunay edges.
+
+    An empty circle through two points holds one of the two halves of the disc between
+    them, and the half to the left holds the next directions' sectors (up to sixty degrees
+    from the edge) to half the edge's length. So an edge is at most twice as long as the
+    farther of the nearest points in the sectors on its two sides, seen from either end. Points whose
+    bounds exceed the radius of a round go on with a doubled one.
+    """
+    sector = (F.floor((F.atan2("dy", "dx") / np.pi + 1) * (SECTORS / 2)) % SECTORS).cast("int")
+    other = p.select(F.col(group).alias("__g"), F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    left, r, before, out = p, first, -1.0, None
+    while True:
+        a = left.select(group, F.col("siteId").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+        j = grid_join(a, other, r, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a <> b").drop("__g")
+        j = j.withColumns({"dx": F.col("bx") - F.col("ax"), "dy": F.col("by") - F.col("ay")}).withColumns({"k": sector, "d": F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))}).where(F.col("d") <= r)
+        beside = j.where("d > 0").groupBy("a").agg(*(F.min(F.when(F.col("k") == k, F.col("d"))).alias(f"n{k}") for k in range(SECTORS)))
+        # a millionth more than twice: rounding drops no edge
+        side = lambda k, way: F.least(F.lit(float("inf")), *(F.col(f"n{(k + way * i) % SECTORS}") for i in range(1, BESIDE + 1)))  # noqa: E731  least skips nulls
+        bound = F.array(*(2.000001 * F.greatest(side(k, 1), side(k, -1)) for k in range(SECTORS)))
+        bounds = cut(left.select(F.col("siteId").alias("a")).join(beside, "a", "left").select("a", bound.alias("most")))
+        own = j.where((F.col("d") > before) & (F.greatest(F.abs("dx"), F.abs("dy")) <= radius)).join(bounds, "a").where(F.col("d") <= F.get("most", F.col("k"))).drop("most")
+        # a pair is met from both of its ends; it stays if both let it
+        pair = [group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+        ends = [F.when(F.col("a") < F.col("b"), F.col(f"{u}{c}")).otherwise(F.col(f"{v}{c}")).alias(f"{u}{c}") for u, v in ("ab", "ba") for c in "xy"]
+        own = own.select(*pair, *ends).groupBy(group, "a", "b").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("ax", "ay", "bx", "by"))).where("n = 2").drop("n")
+        own = cut(own)
+        out = own if out is None else out.unionByName(own)
+        if r * r >= 2 * radius * radius:
+            return out
+        left = cut(left.join(bounds.where(F.array_max("most") > r).select(F.col("a").alias("siteId")), "siteId", "left_semi"))
+        if left.isEmpty():
+            return out
+        r, before = r * 2, r
+
+
 def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame:
     """(town, a, b), a < b: Delaunay edges shorter than the box of +-radius.
 
     An edge holds iff no third point lies on it and the angles opposite to it, the largest
     on each side, sum to at most two right angles: their cotangents sum to zero or more.
-    Third points are sought within a halo around the edge's middle. Seen from beyond a halo
-    h an edge of length d has a cotangent of (h^2 - d^2 / 4) / (d h) or more, which settles
-    nearly all edges; the others are tried again with a doubled halo.
+    Pairs that cannot hold are left out first (_candidates). Third points are sought within
+    a halo around the edge's middle. Seen from beyond a halo h an edge of length d has a
+    cotangent of (h^2 - d^2 / 4) / (d h) or more, which settles nearly all edges; the others
+    are tried again with a doubled halo.
     """
     p = cut(points.select(group, "siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y")))
-    a = p.select(group, F.col("siteId").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    b = p.select(F.col(group).alias("__g"), F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    left = grid_join(a, b, radius, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a < b").drop("__g")
-    left = cut(left.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2}))
+    halo = first_radius(p, radius, "x", "y")
+    left = _candidates(p, radius, halo, group)
+    left = left.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2})
     third = p.select(F.col(group).alias("__g"), F.col("siteId").alias("r"), "x", "y")
     span = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
-    done, halo = None, 4 * radius
+    done = None
     while True:
         j = grid_join(left, third, halo, "mx", "my", "x", "y").where(F.col(group) == F.col("__g")).where("r <> a and r <> b")
         s = (F.col("bx") - F.col("ax")) * (F.col("y") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("x") - F.col("ax"))
@@ -53,6 +94,12 @@ def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame
         halo *= 2
 
 
+def lengths(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b, d): edges (a, b) with the distance of their ends."""
+    ends = [points.select(F.col("siteId").alias(k), F.col("xx").cast("double").alias(f"{k}x"), F.col("yy").cast("double").alias(f"{k}y")) for k in "ab"]
+    return edges.select("a", "b").join(ends[0], "a").join(ends[1], "b").select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
+
+
 def pruned(edges: DataFrame, distances: DataFrame, eps: float) -> DataFrame:
     """Triangulation edges (a, b) whose pair distance d is under eps."""
     return edges.join(distances, ["a", "b"]).where(F.col("d") < eps)
@@ -219,16 +266,17 @@ def join_labels(points: DataFrame, labels: DataFrame) -> DataFrame:
     return checked_join(points, labels, "n")
 
 
-def smpc(points: DataFrame, distances: DataFrame, attrs: list[str], eps: float, threshold: float, most: float, group: str = "town") -> tuple[DataFrame, DataFrame]:
+def smpc(points: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFrame], attrs: list[str], eps: float, threshold: float, most: float, group: str = "town") -> tuple[DataFrame, DataFrame]:
     """(merges, labels): spatially constrained clustering from end to end.
 
     points: siteId (long), town, xx, yy, attrs. distances: a, b, d, rounded to metres as they
-    are stored. Triangulation edges with a distance under eps join sites; each component's
+    are stored, or a function that gives them for edges (a, b). Triangulation edges with a distance under eps join sites; each component's
     Ward tree is cut. merges: seq, cid0, cid1, mcid, d, size: first a row a site with cid0
     `0`, then the merges, component by component, whose ids are `m0`, `m1`, .. labels: n,
     label, ranked from 1 by the smallest site of the cluster.
     """
-    tri = cut(pruned(delaunay(points, eps, group).select("a", "b"), distances, eps))
+    sides = cut(delaunay(points, eps, group).select("a", "b"))
+    tri = cut(pruned(sides, distances(sides) if callable(distances) else distances, eps))
     edges = tri.select(F.col("a").alias("n0"), F.col("b").alias("n1"))
     p = points.withColumnRenamed("siteId", "n")
     tree = cut(constrained_ward(p, edges, attrs, threshold, most, merges=True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,6 +25,16 @@ def grid_join(a: DataFrame, b: DataFrame, radius: float, ax: str, ay: str, bx: s
     return left.join(right, ["__cx", "__cy"]).where(inside).drop("__cx", "__cy")
 
 
+def first_radius(points: DataFrame, radius: float, x: str, y: str, many: int = 4) -> float:
+    """`radius`, or less where points stand close: where a point's own cell holds about `many` of them.
+
+    For searches that double a radius until they are done: their answer doesn't depend on it.
+    """
+    at = points.groupBy(cell(F.col(x), radius).alias("cx"), cell(F.col(y), radius).alias("cy")).agg(F.count("*").cast("double").alias("n"))
+    held, n = at.agg(F.sum(F.col("n") * F.col("n")), F.sum("n")).first()
+    return radius * min(1.0, sqrt(many * n / held)) if n else radius
+
+
 def covered_cells(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
     """Array of (cx, cy) of all cells that the box of two points touches."""
     xs = F.sequence(cell(F.least(x0, x1), size), cell(F.greatest(x0, x1), size))

@@ -215,8 +215,9 @@ def two_phase(points: DataFrame, pairs: DataFrame, edges: DataFrame, attrs: list
 def nearest(points: DataFrame, k: int, radius: float, of: DataFrame | None = None) -> DataFrame:
     """(a, b, d, rank): the k nearest others of each point, ties by id; the nearest points of each place in `of`, if given.
 
-    The search begins in the box of +-radius. Points with fewer than k others within radius
-    are tried again with a doubled one, until it spans all points.
+    The search begins in the box of +-radius, or of less where points stand close. Points
+    with fewer than k others within it are tried again with a doubled one, until it spans
+    all points.
     """
     place = lambda df, a, x, y: df.select(F.col("siteId").alias(a), F.col("xx").cast("double").alias(x), F.col("yy").cast("double").alias(y))
     done, left, others = None, place(points if of is None else of, "a", "ax", "ay"), place(points, "b", "bx", "by")
@@ -224,6 +225,7 @@ def nearest(points: DataFrame, k: int, radius: float, of: DataFrame | None = Non
     span = every.agg(F.greatest(F.max("bx") - F.min("bx"), F.max("by") - F.min("by"))).first()[0] or 0.0
     apart = F.col("a") != F.col("b") if of is None else F.lit(True)
     w = Window.partitionBy("a")
+    radius = first_radius(others, radius, "bx", "by", max(4, k))
     while True:
         p = grid_join(left, others, radius, "ax", "ay", "bx", "by").where(apart).select("a", "b", distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("d"))
         p = p.withColumns({"rank": F.row_number().over(w.orderBy("d", "b")), "n": F.count(F.when(F.col("d") <= radius, 1)).over(w)})

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mercato.functions.scalars import UNKNOWN_CATEGORY, clipped_line, distance, forced_code, kernel, saturating
+from mercato.functions.scalars import KERNEL_SIGMA, UNKNOWN_CATEGORY, clipped_line, distance, forced_code, kernel, saturating
 from mercato.operators.grid import cell, grid_join
 from mercato.operators.ranking import percentiles, sequential_ids
 
@@ -141,6 +143,37 @@ def attributes(flags: DataFrame, pairs: DataFrame, names: list[str], cutoff: flo
     return both.join(flags, "siteId").groupBy(F.col("to").alias("siteId")).agg(*(F.sum(F.col(n) * kernel(F.col("d"))).alias(n) for n in names))
 
 
+def box_attributes(points: DataFrame, flags: DataFrame, names: list[str], box: float = 400.0, cutoff: float = 500.0, sigma: float = KERNEL_SIGMA) -> DataFrame:
+    """attributes over the site pairs of the +-box, from the points (siteId, xx, yy) themselves: no pair is written or sent.
+
+    Points meet the flagged ones of the nine cells around, cell by cell, in blocks of rows.
+    """
+    place = [F.col("siteId"), F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y")]
+    own = points.select(*place, cell(F.col("xx").cast("double"), box).alias("cx"), cell(F.col("yy").cast("double"), box).alias("cy"))
+    near = F.array(*(F.lit(k) for k in (-1, 0, 1)))
+    other = own.join(flags.select("siteId", *(F.col(n).cast("double").alias(n) for n in names)), "siteId").withColumn("i", F.explode(near)).withColumn("j", F.explode(near))
+    # renamed throughout: Spark can't tell the columns of two frames of one origin apart
+    other = other.select(F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), *(F.col(n).alias(f"n_{n}") for n in names), (F.col("cx") + F.col("i")).alias("bcx"), (F.col("cy") + F.col("j")).alias("bcy"))
+
+    def work(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p) or not len(q):
+            return pd.DataFrame({"siteId": p["siteId"][:0], **{n: [] for n in names}})
+        values, at, x, y = q[[f"n_{n}" for n in names]].to_numpy(float), {k: i for i, k in enumerate(q["b"])}, q["bx"].to_numpy(), q["by"].to_numpy()
+        sums, met = np.zeros((len(p), len(names))), np.zeros(len(p), bool)
+        step = max(1, (1 << 21) // len(q))
+        for k in range(0, len(p), step):
+            dx, dy = (p[c].to_numpy()[k : k + step, None] - v for c, v in (("x", x), ("y", y)))
+            d = np.sqrt(dx * dx + dy * dy)
+            ok = (d < cutoff) & (np.abs(dx) <= box) & (np.abs(dy) <= box)
+            weight = np.where(ok, np.exp(-(d * d) / (2 * sigma * sigma)), 0.0)
+            sums[k : k + step], met[k : k + step] = weight @ values, ok.any(1)
+        mine = np.array([at.get(n, -1) for n in p["siteId"]])
+        sums[mine >= 0] += values[mine[mine >= 0]]  # a site counts twice for itself
+        return pd.DataFrame({"siteId": p["siteId"], **dict(zip(names, sums.T))})[met]
+
+    return own.groupBy("cx", "cy").cogroup(other.groupBy("bcx", "bcy")).applyInPandas(work, "siteId string, " + ", ".join(f"{n} double" for n in names))
+
+
 def rescaled(sums: DataFrame, names: list[str]) -> DataFrame:
     """Each attribute as 1 - exp(-v / its 90th percentile)."""
     p = percentiles(sums, {n: (n, 0.9) for n in names})
@@ -155,6 +188,14 @@ def scaled_distances(pairs: DataFrame, factors: DataFrame) -> DataFrame:
     return pairs.join(f0, "siteId0").join(f1, "siteId1").select("siteId0", "siteId1", (F.greatest("f0", "f1") * F.col("d")).alias("d"))
 
 
+def scaled_box_pairs(points: DataFrame, factors: DataFrame, box: float) -> DataFrame:
+    """scaled_distances of the unordered pairs of the +-box, self pairs included; the factors travel with the points, so no pair is sent."""
+    p = points.join(factors.select("siteId", "factor"), "siteId")
+    a, b = (p.select(F.col("siteId").alias(k), F.col("xx").cast("double").alias(f"{k}x"), F.col("yy").cast("double").alias(f"{k}y"), F.col("factor").alias(f"{k}f")) for k in "ab")
+    d = F.greatest("af", "bf") * distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    return grid_join(a, b, box, "ax", "ay", "bx", "by").where("a <= b").select(F.col("a").alias("siteId0"), F.col("b").alias("siteId1"), d.alias("d"))
+
+
 def chain_flag(chainid: Column, strict: bool = False) -> Column:
     """Blank ids count as chains unless strict, as only the id 0 is excluded."""
     return chainid.isNotNull() & (chainid != "0") if strict else F.coalesce(chainid, F.lit("")) != "0"

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm import chain
+from mercato.llm.memory import given_back
 from mercato.session import table
 
 HASHED = 1 << 16
@@ -25,7 +26,7 @@ SAMPLE_PER_LANGUAGE = 150
 LEXICON = 300
 SEQUENCES, STEPS = 6000, 24
 #: Words whose emissions a worker keeps, and characters of text it takes at once: they bound its memory, not the answers.
-KEPT_WORDS, CHUNK = 400_000, 1_000_000
+KEPT_WORDS, CHUNK = 200_000, 1_000_000
 UNKNOWN = "und"
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1_000_003)
 
@@ -277,7 +278,7 @@ def identify(docs: DataFrame, model: Crf | None, id_col: str = "doc_id", text_co
                 scores += y
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(work, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(given_back(work), "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Crf | None, least: float = 0.5) -> DataFrame:
@@ -302,7 +303,7 @@ def keep_identified(docs: DataFrame, model: Crf | None, least: float = 0.5) -> D
                 keep += [x != UNKNOWN and y >= least for x, y in zip(*_decide(tagger, texts))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(given_back(work), docs.schema)
 
 
 def op2_language_id(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from mercato.llm.memory import given_back
 from mercato.session import shared_dir, table
 
 END_ID = 0
@@ -126,7 +127,7 @@ def pieces(docs: DataFrame, window: int = 1024, path: str | None = None, id_col:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 7)], names=["part", "at", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     some = docs.select(F.col(id_col).cast("long"), text_col)
-    return some.mapInArrow(work, "part long, at long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return some.mapInArrow(given_back(work), "part long, at long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def write_ids(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> dict:

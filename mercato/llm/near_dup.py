@@ -9,9 +9,10 @@ equi-join on these keys loses no link, and every pair is verified by its bit cou
 Equal fingerprints are collapsed before anything is joined, so a group of copies of any
 size is one row in the join.
 
-Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There bands of
-MinHash values tell which texts have a partner at all, the rarest shingles of these (a
-prefix that similar sets must share) bring pairs together, parity bitmaps of the sets rule
+Similarity of 0.8 over five-word shingles is far more than 3 of 64 bits. There the same
+links are only the first, of each text with the least of its component, verified by exact
+Jaccard similarity; then bands of MinHash values tell which texts have a partner at all,
+the rarest shingles of these (a prefix that similar sets must share) bring pairs together, parity bitmaps of the sets rule
 out pairs that differ in too many shingles (no pair is lost by that: bits that differ are
 never more than shingles that do), and the exact Jaccard similarity of their sets of
 shingles decides. Wide fingerprints of several tables (wide_links) only estimate it.
@@ -33,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.llm import golay
+from mercato.llm.memory import given_back
 from mercato.operators.components import connected_components
 from mercato.session import cut, table
 
@@ -121,8 +123,17 @@ def parity(some: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def simhash(some: np.ndarray) -> int:
+    """64 bits, set where over half of the hashes have a 1; zero for no hashes."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, len(some), _CHUNK):
+        bits = np.unpackbits(some[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        votes += np.add.reduceat(bits, np.arange(0, len(bits), 255), 0, np.uint8).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(some), bitorder="little").view(np.uint64)[0])
+
+
 def shingle_sets(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, id, bands, shingles, p0 .. p<WORDS-1>): id stands for the set of shingles, p are its parity bitmap."""
+    """(doc_id, text_hash, id, f0, bands, shingles, p0 .. p<WORDS-1>): id stands for the set of shingles, f0 is its SimHash, p are its parity bitmap."""
 
     def lists(arrays):
         ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
@@ -136,10 +147,10 @@ def shingle_sets(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_c
                 ids = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
                 bits = np.array([parity(s) for s in sets]).reshape(-1, WORDS)
                 words = {f"p{k}": pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS)}
-                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text_hash": b.column(1), "id": pa.array(ids), "bands": lists([bands(s) for s in sets]), "shingles": lists(sets), **words})
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "text_hash": b.column(1), "id": pa.array(ids), "f0": pa.array(np.array([simhash(s) for s in sets], np.uint64).view(np.int64)), "bands": lists([bands(s) for s in sets]), "shingles": lists(sets), **words})
 
     some = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("b"))
-    return some.mapInArrow(work, "doc_id long, text_hash long, id long, bands array<long>, shingles array<long>" + "".join(f", p{k} long" for k in range(WORDS)))
+    return some.mapInArrow(given_back(work), "doc_id long, text_hash long, id long, f0 long, bands array<long>, shingles array<long>" + "".join(f", p{k} long" for k in range(WORDS)))
 
 
 def _segments(f: np.ndarray):
@@ -208,6 +219,17 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     return _linked(keyed, holding)
 
 
+def simhash_pairs(sketches: DataFrame) -> DataFrame:
+    """(a, b), a < b: each sketch with the least of its component under links: a row a sketch, however large the component.
+
+    sketches has id and f0, one row an id; equal SimHashes are linked before any are compared.
+    """
+    firsts = cut(sketches.groupBy("f0").agg(F.min("id").alias("first")))
+    equal = sketches.join(firsts, "f0").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    parts = connected_components(equal.union(links(firsts.select(F.col("first").alias("id"), "f0"))), "a", "b")
+    return parts.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """(key, id, size, place): the shingles of the prefix of each set that another set has too, with the set's size and the place in it.
 
@@ -222,11 +244,12 @@ def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     return held.select("key", "id", "size", "place")
 
 
-def jaccard_links(sets: DataFrame, similarity: float) -> DataFrame:
+def jaccard_links(sets: DataFrame, similarity: float, near: DataFrame) -> DataFrame:
     """(a, b), a < b: links with the components of all pairs whose sets have at least this Jaccard similarity.
 
-    sets has id, shingles and the words of their bitmap, one row an id. A key's sets are first compared with its lead, the
-    one with the fewest rare shingles before the key, then with a second lead outside the
+    sets has id, shingles and the words of their bitmap, one row an id. The pairs (a, b) of
+    near are compared first. A key's sets are then compared with its lead, the one with the
+    fewest rare shingles before the key, then with a second lead outside the
     first one's component. Each is a row a set and key, and a group of near copies collapses
     in them. Of what is left only sets of different components that share a key are
     compared, and of those only pairs that their bitmaps let through: no component is lost.
@@ -265,7 +288,7 @@ def jaccard_links(sets: DataFrame, similarity: float) -> DataFrame:
     mine = F.struct("place", F.xxhash64("id"), "id", "size")
     met = prefixes(sets, similarity).select("key", "id", "size", "place", F.count("*").over(w).alias("n"), F.min(mine).over(w).alias("lead"))
     met = cut(met.where("n > 1").select("key", "id", "size", "place", F.struct("lead.place", "lead.id", "lead.size").alias("lead")))
-    links = led(met)
+    links = cut(holding(near.join(bits("a"), "a").join(bits("b"), "b").where(alike("a", "b")).select("a", "b")).unionByName(led(met)).distinct())
 
     def apart(links: DataFrame) -> DataFrame:
         """Rows of keys with sets of several components, with their component as part."""
@@ -342,19 +365,25 @@ def similar_bits(similarity: float, tables: int) -> int:
 
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component, first) as groups gives them, for sets of shingles of at least this Jaccard similarity."""
-    prints = cut(shingle_sets(docs, width).select("doc_id", "text_hash", "id", "bands"))
+    """(id, component, first) as groups gives them, for sets of shingles of at least this Jaccard similarity.
+
+    SimHashes linked through their Golay keys, verified, link the nearest copies; bands and
+    the exact join find the other pairs, most of which differ in more bits than such keys bear.
+    """
+    prints = shingle_sets(docs, width).select("doc_id", "text_hash", "id", "f0", "bands")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("bands").alias("bands")))
+    sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("f0").alias("f0"), F.any_value("bands").alias("bands")))
+    near = cut(simhash_pairs(sketches.where(F.size("bands") > 0).select("id", "f0")))
     shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
-    met = sketches.join(shared.where("n > 1").select("id").distinct(), "id")
+    some = shared.where("n > 1").select("id").union(near.select("a")).union(near.select("b")).distinct()
+    met = sketches.join(some, "id")
     # the sets, larger than the texts, are made again for those with a partner, of copies for the first
     want = cut(met.select(F.col("first.doc_id").alias("want_id"), F.col("first.text_hash").alias("want_hash")))
     want = F.broadcast(want) if want.count() <= BROADCAST_NODES else want
     docs = docs.select("doc_id", "text")
     on = docs["doc_id"].cast("long").eqNullSafe(want["want_id"]) & (F.xxhash64(docs["text"]) == want["want_hash"])
-    sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).drop("doc_id", "text_hash", "bands").dropDuplicates(["id"]))
-    found = jaccard_links(sets, similarity)
+    sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).drop("doc_id", "text_hash", "f0", "bands").dropDuplicates(["id"]))
+    found = jaccard_links(sets, similarity, near)
     parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     first = classes.groupBy("component").agg(F.min("first").alias("first"))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from mercato.llm import golay
 from mercato.llm.memory import given_back
 from mercato.operators.components import connected_components
-from mercato.session import cut, table
+from mercato.session import cut, table, tidy
 
 SEED = 42
 _CHUNK = 1 << 16
@@ -288,7 +288,9 @@ def jaccard_links(sets: DataFrame, similarity: float, near: DataFrame) -> DataFr
     mine = F.struct("place", F.xxhash64("id"), "id", "size")
     met = prefixes(sets, similarity).select("key", "id", "size", "place", F.count("*").over(w).alias("n"), F.min(mine).over(w).alias("lead"))
     met = cut(met.where("n > 1").select("key", "id", "size", "place", F.struct("lead.place", "lead.id", "lead.size").alias("lead")))
+    tidy(sets.sparkSession)
     links = cut(holding(near.join(bits("a"), "a").join(bits("b"), "b").where(alike("a", "b")).select("a", "b")).unionByName(led(met)).distinct())
+    tidy(sets.sparkSession)
 
     def apart(links: DataFrame) -> DataFrame:
         """Rows of keys with sets of several components, with their component as part."""
@@ -303,6 +305,7 @@ def jaccard_links(sets: DataFrame, similarity: float, near: DataFrame) -> DataFr
     rows = rows.withColumn("first", first).withColumn("lead", other).where(F.col("part") != F.col("lead.part"))
     links = cut(links.unionByName(led(rows)).distinct())
     left = cut(apart(links).select("key", "id", "place", "part"))
+    tidy(sets.sparkSession)
     left = left.join(small, "id")
     side = lambda s: left.select("key", F.col("id").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("place", "part", "size", *words)))
     on = (F.col("u_part") < F.col("v_part")) & reaches(F.col("u_size"), F.col("u_place"), F.col("v_size"), F.col("v_place")) & alike("u", "v")
@@ -374,6 +377,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     sketches = cut(prints.groupBy("id").agg(F.min(order).alias("first"), F.any_value("f0").alias("f0"), F.any_value("bands").alias("bands")))
     near = cut(simhash_pairs(sketches.where(F.size("bands") > 0).select("id", "f0")))
+    tidy(docs.sparkSession)
     shared = sketches.select("id", F.explode("bands").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
     some = shared.where("n > 1").select("id").union(near.select("a")).union(near.select("b")).distinct()
     met = sketches.join(some, "id")
@@ -383,6 +387,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     docs = docs.select("doc_id", "text")
     on = docs["doc_id"].cast("long").eqNullSafe(want["want_id"]) & (F.xxhash64(docs["text"]) == want["want_hash"])
     sets = cut(shingle_sets(docs.join(want, on, "left_semi"), width).drop("doc_id", "text_hash", "f0", "bands").dropDuplicates(["id"]))
+    tidy(docs.sparkSession)
     found = jaccard_links(sets, similarity, near)
     parts = connected_components(found, "a", "b").withColumnRenamed("node", "id")
     classes = sketches.select("id", "first").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))

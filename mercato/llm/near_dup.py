@@ -219,15 +219,23 @@ def wide_links(sketches: DataFrame, tables: int, max_bits: int) -> DataFrame:
     return _linked(keyed, holding)
 
 
+def code_links(codes: DataFrame) -> DataFrame:
+    """(a, b), a < b: all of these distinct fingerprints, column f0, with 3 or fewer differing bits. As links, but a fingerprint is its own id and sent once a key."""
+    some = codes.select(F.col("f0").alias("id"), "f0")
+    one = some.mapInArrow(_keys(False, 1), _KEYED).select("key", F.col("f").alias("a"))
+    many = some.mapInArrow(_keys(True, 1), _KEYED).select("key", F.col("f").alias("b"))
+    return one.join(many, "key").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 3)).select("a", "b").distinct()
+
+
 def simhash_pairs(sketches: DataFrame) -> DataFrame:
     """(a, b), a < b: each sketch with the least of its component under links: a row a sketch, however large the component.
 
-    sketches has id and f0, one row an id; equal SimHashes are linked before any are compared.
+    sketches has id and f0, one row an id; equal SimHashes are one before any are compared.
     """
-    firsts = cut(sketches.groupBy("f0").agg(F.min("id").alias("first")))
-    equal = sketches.join(firsts, "f0").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    parts = connected_components(equal.union(links(firsts.select(F.col("first").alias("id"), "f0"))), "a", "b")
-    return parts.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    parts = connected_components(code_links(cut(sketches.select("f0").distinct())), "a", "b")
+    named = sketches.join(parts, F.col("f0") == F.col("node"), "left").select("id", F.coalesce("component", "f0").alias("part"))
+    least = named.groupBy("part").agg(F.min("id").alias("a"))
+    return named.join(least, "part").where("id <> a").select("a", F.col("id").alias("b"))
 
 
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:

@@ -298,10 +298,9 @@ def keep_identified(docs: DataFrame, model: Crf | None, least: float = 0.5) -> D
     def work(batches):
         tagger = Tagger(held.value)
         for b in batches:
-            keep = []
-            for _, texts in _chunks(b.column(names.index("text"))):
-                keep += [x != UNKNOWN and y >= least for x, y in zip(*_decide(tagger, texts))]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            for first, texts in _chunks(b.column(names.index("text"))):  # a run at a time: no second copy of the batch
+                keep = [x != UNKNOWN and y >= least for x, y in zip(*_decide(tagger, texts))]
+                yield b.slice(first, len(keep)).filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(given_back(work), docs.schema)
 

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from mercato.llm.memory import given_back
 from mercato.llm.tokens import pieces
 from mercato.operators.ranking import rank_in_group
 from mercato.session import cut, table
@@ -129,7 +130,7 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Data
             yield pa.RecordBatch.from_arrays([*keep, pa.array(sequence), pa.array(offset)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     ranked = rank_in_group(cuts, "length", "bucket", ["part", "at"])
-    return ranked.mapInArrow(work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.mapInArrow(given_back(work), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:

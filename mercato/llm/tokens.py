@@ -116,15 +116,18 @@ def pieces(docs: DataFrame, window: int = 1024, path: str | None = None, id_col:
 
     def work(batches):
         enc, part, at = encoder(path), TaskContext.get().partitionId(), 0
-        for b in batches:
-            rows = []
-            for i, x in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(x.as_py() or "") + end
-                n = len(ids) // 4
-                for s in range(0, n, window):
-                    rows.append((part, at, i, s, min(window, n - s), zlib.crc32(ids[4 * s : 4 * (s + window)]), n))
-                    at += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 7)], names=["part", "at", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        try:
+            for b in batches:
+                rows = []
+                for i, x in zip(b.column(0).to_pylist(), b.column(1)):
+                    ids = enc.encode(x.as_py() or "") + end
+                    n = len(ids) // 4
+                    for s in range(0, n, window):
+                        rows.append((part, at, i, s, min(window, n - s), zlib.crc32(ids[4 * s : 4 * (s + window)]), n))
+                        at += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 7)], names=["part", "at", "doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        finally:
+            enc.pieces.clear()  # the worker lives on, in stages that have no use for them
 
     some = docs.select(F.col(id_col).cast("long"), text_col)
     return some.mapInArrow(given_back(work), "part long, at long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import pyarrow as pa
+
 import corpus_pipeline
 from mercato.llm import langid, packing, tokens
 from mercato.session import table
@@ -49,3 +51,27 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100 and langid.UNKNOWN and packing.WINDOW == 1024
+
+
+def test_workers_keep_no_pieces(spark):
+    """Workers that packed live on in the other stages, without the pieces they looked up."""
+    path = tokens.default_tokenizer()
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(400)], "doc_id long, text string").repartition(8)
+    assert tokens.pieces(docs).count() == 400
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens.encoder(path).pieces)])], names=["n"])
+
+    assert {r.n for r in spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_language_by_runs_of_text(spark):
+    """Rows fall to their own texts where one batch is several runs."""
+    docs = table(spark, SF, "documents")
+    model = langid.fit(docs)
+    good = docs.where("lang is not null and length(text) > 400").orderBy("doc_id").first()
+    long = (good.text + " ") * (langid.CHUNK // (2 * len(good.text)) + 1)
+    rows = [(i, t) for i, t in enumerate([long, "1 2", None, long, long, "", good.text, "...", long, good.text])]
+    out = langid.keep_identified(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), model).collect()
+    assert {r.doc_id: r.text for r in out} == {i: t for i, t in rows if t and len(t) > 9}

@@ -35,35 +35,47 @@ def sequential_ids(df: DataFrame, order: str, name: str = "seq", buckets: int =
 def percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]], buckets: int = 4096) -> dict[str, float | None]:
     """Exact linearly interpolated percentiles, name -> (column, share), nulls left out; None for no values.
 
-    One pass counts the values in equal ranges of each column, a second one sorts only the
-    ranges that hold the wanted ranks; where a range holds many rows it is cut again, so no
-    task gets all values. Equal values in a range are counted, not gathered.
+    Each pass over the rows serves all columns: it counts the values in equal ranges of
+    those that hold the wanted ranks, which are cut again where they hold many rows, so no
+    task gets all values. A last pass sorts what is in them. Equal values in a range are
+    counted, not gathered. The driver gets at most `buckets` rows a range.
     """
     cols = sorted({c for c, _ in wanted.values()})
     ends = df.agg(*(f(F.col(c).cast("double")).alias(f"{c}{k}") for c in cols for k, f in enumerate((F.min, F.max, F.count)))).first()
-    out = {}
-    for name, (c, share) in wanted.items():
-        low, high, n = (ends[f"{c}{k}"] for k in range(3))
-        if not n:
-            out[name] = None
-            continue
-        at = share * (n - 1)
-        values, found = df.select(F.col(c).cast("double").alias("v")).where("v is not null"), []
-        for rank in sorted({int(at), min(int(at) + 1, n - 1)}):
-            a, b, before, many = low, high, 0, n
-            while many > buckets and b > a:
-                width = (b - a) / buckets
-                place = F.least(F.floor((F.col("v") - a) / width), F.lit(buckets - 1))
-                counts = values.where(F.col("v").between(a, b)).groupBy(place.alias("p")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
-                for r in sorted(counts.collect(), key=lambda r: r["p"]):
-                    if before + r["n"] > rank:
-                        break
-                    before += r["n"]
-                a, b, many = r["a"], r["b"], r["n"]
-            for r in values.where(F.col("v").between(a, b)).groupBy("v").agg(F.count("*").alias("n")).orderBy("v").collect():  # at most `buckets` values, or one
-                if before + r["n"] > rank:
-                    found.append(r["v"])
+    low, high, n = ({c: ends[f"{c}{k}"] for c in cols} for k in range(3))
+    at = {name: share * (n[c] - 1) for name, (c, share) in wanted.items() if n[c]}
+    ranks = {name: (int(x), min(int(x) + 1, n[wanted[name][0]] - 1)) for name, x in at.items()}
+    #: (column, rank): the range that holds it, the rows before the range and in it
+    held = {(wanted[name][0], r): (low[wanted[name][0]], high[wanted[name][0]], 0, n[wanted[name][0]]) for name in at for r in ranks[name]}
+
+    def counted(keys: list, place) -> dict:
+        """By (column, range): the rows (p, n, a, b), ascending by p."""
+        ranges = sorted({(c, *held[c, r][:2]) for c, r in keys})
+        if not ranges:
+            return {}
+        value = {c: F.col(c).cast("double") for c in cols}
+        spots = (F.when(value[c].between(a, b), F.struct(F.lit(i).alias("i"), place(value[c], a, b).cast("double").alias("p"), value[c].alias("v"))) for i, (c, a, b) in enumerate(ranges))
+        spots = df.select(F.explode(F.array(*spots)).alias("s")).where("s is not null").select("s.*")
+        out: dict = {x: [] for x in ranges}
+        for row in spots.groupBy("i", "p").agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
+            out[ranges[row["i"]]].append(row)
+        return {x: sorted(rows, key=lambda row: row["p"]) for x, rows in out.items()}
+
+    def step(keys: list, place) -> None:
+        rows = counted(keys, place)
+        for c, rank in keys:
+            a, b, before, _ = held[c, rank]
+            for row in rows[c, a, b]:
+                if before + row["n"] > rank:
                     break
-                before += r["n"]
-        out[name] = found[0] + (found[-1] - found[0]) * (at - int(at))
+                before += row["n"]
+            held[c, rank] = row["a"], row["b"], before, row["n"]
+
+    while wide := [k for k, (a, b, _, many) in held.items() if many > buckets and b > a]:
+        step(wide, lambda v, a, b: F.least(F.floor((v - a) / ((b - a) / buckets)), F.lit(buckets - 1)))
+    step([k for k, (a, b, *_) in held.items() if b > a], lambda v, a, b: v)  # at most `buckets` values
+    out: dict[str, float | None] = dict.fromkeys(wanted)
+    for name, x in at.items():
+        first, last = (held[wanted[name][0], r][0] for r in ranks[name])
+        out[name] = first + (last - first) * (x - int(x))
     return out

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.functions.scalars import distance
 from mercato.operators.components import connected_components
-from mercato.operators.grid import first_radius, grid_join
+from mercato.operators.grid import cell, first_radius, grid_join
 from mercato.operators.ranking import sequential_ids
 from mercato.session import cut
 
@@ -20,8 +20,8 @@ from mercato.session import cut
 SECTORS, BESIDE = 24, 3
 
 
-def _candidates(p: DataFrame, radius: float, first: float, group: str) -> DataFrame:
-    """(group, a, b, ax, ay, bx, by), a < b: pairs in the box of +-radius that can be Delaunay edges.
+def _candidates(p: DataFrame, radius: float, first: float, group: str, ends: DataFrame | None = None) -> DataFrame:
+    """(group, a, b, ax, ay, bx, by), a < b: pairs in the box of +-radius that can be Delaunay edges, both ends among `ends`, if given.
 
     An empty circle through two points holds one of the two halves of the disc between
     them, and the half to the left holds the next directions' sectors (up to sixty degrees
@@ -31,10 +31,10 @@ def _candidates(p: DataFrame, radius: float, first: float, group: str) -> DataFr
     """
     sector = (F.floor((F.atan2("dy", "dx") / np.pi + 1) * (SECTORS / 2)) % SECTORS).cast("int")
     other = p.select(F.col(group).alias("__g"), F.col("siteId").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    left, r, before, out = p, first, -1.0, None
+    left, r, before, out = p if ends is None else ends, first, -1.0, None
     while True:
         a = left.select(group, F.col("siteId").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-        j = grid_join(a, other, r, "ax", "ay", "bx", "by").where(F.col(group) == F.col("__g")).where("a <> b").drop("__g")
+        j = grid_join(other, a, r, "bx", "by", "ax", "ay").where(F.col(group) == F.col("__g")).where("a <> b").drop("__g")
         j = j.withColumns({"dx": F.col("bx") - F.col("ax"), "dy": F.col("by") - F.col("ay")}).withColumns({"k": sector, "d": F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))}).where(F.col("d") <= r)
         beside = j.where("d > 0").groupBy("a").agg(*(F.min(F.when(F.col("k") == k, F.col("d"))).alias(f"n{k}") for k in range(SECTORS)))
         # a millionth more than twice: rounding drops no edge
@@ -56,25 +56,141 @@ def _candidates(p: DataFrame, radius: float, first: float, group: str) -> DataFr
         r, before = r * 2, r
 
 
+#: Points that a square of the halo's side holds about, halos a tile's side, and values of a block in memory.
+HALO, SIDE, BLOCK = 128, 4, 1 << 21
+#: Cotangents that differ by less, but do, may be equal up to rounding.
+ROUNDING = 1e-12
+
+
+def _gathered(x: np.ndarray, y: np.ndarray, ask: np.ndarray, size: float):
+    """Blocks (rows of ask, neighbours a row, padded with -1): the points of the nine cells of this size around."""
+    cx, cy = np.floor(x / size).astype(np.int64), np.floor(y / size).astype(np.int64)
+    cx, cy = cx - cx.min() + 1, cy - cy.min() + 1
+    wide = cx.max() + 2
+    key = cy * wide + cx
+    order = np.argsort(key, kind="stable")
+    held = key[order]
+    middle = key[ask, None] + np.array([-wide, 0, wide])
+    low, high = np.searchsorted(held, middle - 1), np.searchsorted(held, middle + 1, "right")
+    many = (high - low).max(1)
+    rows = np.argsort(many, kind="stable")
+    at = 0
+    while at < len(rows):
+        n = max(1, min(len(rows) - at, BLOCK // max(1, 3 * int(many[rows[at]]))))
+        while n > 1 and n * 3 * int(many[rows[at + n - 1]]) > 2 * BLOCK:
+            n //= 2
+        some = rows[at : at + n]
+        spot = low[some][:, :, None] + np.arange(int(many[some[-1]]))
+        found = np.where(spot < high[some][:, :, None], order[np.minimum(spot, len(order) - 1)], -1)
+        yield ask[some], found.reshape(len(some), -1)
+        at += n
+
+
+def _wrapped(x: np.ndarray, y: np.ndarray, ask: np.ndarray, size: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, closed): Delaunay edges from each point of ask whose triangles all fit in what is known `size` around it, and which points of ask those are.
+
+    All points at once go around: from the nearest neighbour to the one to the left of that
+    edge with the largest angle over it, and so on. Points on one circle are all neighbours,
+    and so are points on one place.
+    """
+    ends, others, closed = [], [], []
+    for rows, near in _gathered(x, y, ask, size):
+        dx, dy = np.where(near < 0, np.inf, x[near] - x[rows][:, None]), np.where(near < 0, np.inf, y[near] - y[rows][:, None])
+        far = np.where(near < 0, np.inf, np.where(near < 0, 0.0, dx) ** 2 + np.where(near < 0, 0.0, dy) ** 2)
+        same = (far == 0) & (near != rows[:, None])
+        far[far == 0] = np.inf
+        first = far.argmin(1)
+        met, fits = np.zeros(near.shape, bool), np.zeros(len(rows), bool)
+        live = np.flatnonzero(np.isfinite(far[np.arange(len(rows)), first]))
+        # rows without a neighbour here are open
+        u, v = np.where(np.isfinite(far), dx, 0.0)[live], np.where(np.isfinite(far), dy, 0.0)[live]
+        start = at = first[live]
+        met[live, at] = True
+        for _ in range(near.shape[1]):
+            if not len(live):
+                break
+            i = np.arange(len(live))
+            qx, qy = u[i, at][:, None], v[i, at][:, None]
+            s = qx * v - qy * u
+            left = s > 0
+            cot = np.full(s.shape, np.inf)
+            np.divide(u * (u - qx) + v * (v - qy), s, out=cot, where=left)
+            least = cot.min(1)
+            on = left & (cot == least[:, None])
+            tied = cot <= (least + ROUNDING * (1 + np.abs(least)))[:, None]
+            sure = np.isfinite(least) & (np.sqrt((qx * qx + qy * qy)[:, 0]) * np.sqrt(1 + np.square(np.where(np.isfinite(least), least, 0.0))) <= size * (1 - 1e-9)) & ((tied & left) == on).all(1)
+            met[live] |= on & sure[:, None]
+            # of points on one circle the last one to the left goes on: its angle from the edge is the largest
+            turn = np.where(on, (u * qx + v * qy) / np.where(left, s, 1.0), np.inf)
+            after = turn.argmin(1)
+            back = on[i, start]
+            fits[live[sure & back]] = True
+            go = sure & ~back
+            live, at, start, u, v = live[go], after[go], start[go], u[go], v[go]
+        k, j = np.nonzero((met | same) & fits[:, None])
+        ends.append(rows[k])
+        others.append(near[k, j])
+        closed.append(rows[fits])
+    return tuple(np.concatenate(z) if z else np.empty(0, np.int64) for z in (ends, others, closed))
+
+
+def _by_tiles(p: DataFrame, radius: float, halo: float, group: str) -> DataFrame:
+    """(group, a, b), a < b: Delaunay edges in the box of +-radius with an end all of whose triangles are known from the points within a halo of it; and (group, a, a) for each other point.
+
+    Points go to a tile and to those that they are a halo from: few are sent twice, no pair is.
+    """
+    side = halo * SIDE
+    spots = lambda c: F.sequence(cell(F.col(c) - halo, side), cell(F.col(c) + halo, side))
+    tiled = p.where(F.col(group).isNotNull()).withColumn("tx", F.explode(spots("x"))).withColumn("ty", F.explode(spots("y")))
+    tiled = tiled.withColumn("own", (cell(F.col("x"), side) == F.col("tx")) & (cell(F.col("y"), side) == F.col("ty")))
+
+    def work(t: pd.DataFrame) -> pd.DataFrame:
+        x, y, ids = t["x"].to_numpy(), t["y"].to_numpy(), t["siteId"].to_numpy()
+        x, y = x - np.floor(x.min()), y - np.floor(y.min())
+        left, size, found = np.flatnonzero(t["own"].to_numpy()), halo, []
+        while len(left) and size > halo / 64:
+            many = np.unique(np.floor(x / size) * 1e9 + np.floor(y / size), return_counts=True)[1]
+            if (many * many).sum() <= 8 * len(x):
+                break
+            size /= 2
+        while len(left) and size <= halo:
+            a, b, closed = _wrapped(x, y, left, size)
+            near = (np.abs(x[a] - x[b]) <= radius) & (np.abs(y[a] - y[b]) <= radius)
+            found.append((ids[a[near]], ids[b[near]]))
+            left, size = np.setdiff1d(left, closed), size * 2
+        a, b = (np.concatenate([*(f[k] for f in found), ids[left]]) for k in (0, 1))
+        return pd.DataFrame({group: t[group].iloc[0], "a": a, "b": b})
+
+    kinds = {c: p.schema[c].dataType.simpleString() for c in (group, "siteId")}
+    met = tiled.groupBy(group, "tx", "ty").applyInPandas(work, f"{group} {kinds[group]}, a {kinds['siteId']}, b {kinds['siteId']}")
+    return met.select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame:
     """(town, a, b), a < b: Delaunay edges shorter than the box of +-radius.
 
     An edge holds iff no third point lies on it and the angles opposite to it, the largest
     on each side, sum to at most two right angles: their cotangents sum to zero or more.
+    Most points are settled in tiles (_by_tiles); the others' edges among themselves follow.
     Pairs that cannot hold are left out first (_candidates). Third points are sought within
     a halo around the edge's middle. Seen from beyond a halo h an edge of length d has a
     cotangent of (h^2 - d^2 / 4) / (d h) or more, which settles nearly all edges; the others
     are tried again with a doubled halo.
     """
     p = cut(points.select(group, "siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y")))
-    halo = first_radius(p, radius, "x", "y")
-    left = _candidates(p, radius, halo, group)
+    halo = first_radius(p, 2 * radius, "x", "y", HALO)
+    tiles = cut(_by_tiles(p, radius, halo, group))
+    settled = tiles.where("a <> b")
+    some = cut(p.join(tiles.where("a = b").select(F.col("a").alias("siteId")), "siteId", "left_semi").select(*p.columns))
+    if some.isEmpty():
+        return settled
+    left = _candidates(p, radius, min(halo, radius), group, some)
     left = left.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2})
     third = p.select(F.col(group).alias("__g"), F.col("siteId").alias("r"), "x", "y")
     span = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))).first()[0] or 0.0
     done = None
     while True:
-        j = grid_join(left, third, halo, "mx", "my", "x", "y").where(F.col(group) == F.col("__g")).where("r <> a and r <> b")
+        j = grid_join(third, left, halo, "x", "y", "mx", "my").where(F.col(group) == F.col("__g")).where("r <> a and r <> b")
         s = (F.col("bx") - F.col("ax")) * (F.col("y") - F.col("ay")) - (F.col("by") - F.col("ay")) * (F.col("x") - F.col("ax"))
         d = (F.col("x") - F.col("ax")) * (F.col("x") - F.col("bx")) + (F.col("y") - F.col("ay")) * (F.col("y") - F.col("by"))
         j = j.select(group, "a", "b", s.alias("s"), d.alias("d")).withColumn("cot", F.when(F.col("s") != 0, F.col("d") / F.nullif(F.abs("s"), F.lit(0.0))))
@@ -87,7 +203,7 @@ def delaunay(points: DataFrame, radius: float, group: str = "town") -> DataFrame
         fails = (F.coalesce("on", F.lit(0)) == 1) | F.coalesce(F.col("l") + F.col("r") < 0, F.lit(False))
         seen = cut(seen.withColumns({"holds": ~fails & holds, "open": ~fails & ~holds}).drop("l", "r", "on"))
         found = seen.where("holds").select(group, "a", "b")
-        done = found if done is None else done.unionByName(found)
+        done = settled.unionByName(found) if done is None else done.unionByName(found)
         left = seen.where("open").drop("holds", "open")
         if halo > span or left.isEmpty():
             return done

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable
+from math import fma, sqrt
 
 import numpy as np
 import pandas as pd
@@ -228,7 +229,7 @@ def ward_tree(ids: list, values: np.ndarray, edges: list[tuple[int, int]]) -> li
     to the smaller node numbers.
     """
     n = len(ids)
-    centre = {i: values[i].astype(float) for i in range(n)}
+    centre = dict(enumerate(values.astype(float).tolist()))
     size = {i: 1 for i in range(n)}
     near: dict[int, set[int]] = {i: set() for i in range(n)}
     for a, b in edges:
@@ -236,7 +237,10 @@ def ward_tree(ids: list, values: np.ndarray, edges: list[tuple[int, int]]) -> li
         near[b].add(a)
 
     def dist(i: int, j: int) -> float:
-        return float(np.sqrt(2 * size[i] * size[j] / (size[i] + size[j])) * np.linalg.norm(centre[i] - centre[j]))
+        far = 0.0  # fused, as in numpy's norm
+        for u, v in zip(centre[i], centre[j]):
+            far = fma(u - v, u - v, far)
+        return sqrt(2 * size[i] * size[j] / (size[i] + size[j])) * sqrt(far)
 
     heap = [(dist(a, b), a, b) for a in near for b in near[a] if a < b]
     heapq.heapify(heap)
@@ -246,7 +250,7 @@ def ward_tree(ids: list, values: np.ndarray, edges: list[tuple[int, int]]) -> li
         if a not in near or b not in near:
             continue
         m = n + len(out)
-        centre[m] = (centre[a] * size[a] + centre[b] * size[b]) / (size[a] + size[b])
+        centre[m] = [(u * size[a] + v * size[b]) / (size[a] + size[b]) for u, v in zip(centre[a], centre[b])]
         size[m] = size[a] + size[b]
         near[m] = (near.pop(a) | near.pop(b)) - {a, b}
         for c in near[m]:
@@ -277,9 +281,13 @@ def cut_tree(n: int, merges: list[tuple], threshold: float, most: float, least:
     return label
 
 
+#: Up to so many edges (16 bytes each) have their components found in one task.
+FEW = 1 << 22
+
+
 def _components(points: DataFrame, edges: DataFrame) -> DataFrame:
     """points with component; ids must be numbers in column n."""
-    parts = connected_components(edges, "n0", "n1").withColumnRenamed("node", "n")
+    parts = connected_components(edges, "n0", "n1", few=FEW).withColumnRenamed("node", "n")
     return points.join(parts, "n", "left").withColumn("component", F.coalesce("component", "n"))
 
 
@@ -290,6 +298,20 @@ def constrained_ward(points: DataFrame, edges: DataFrame, attrs: list[str], thre
     applyInPandas: the merge order within a component is sequential by nature, components
     don't interact.
     """
+    both = _ward_rows(points, edges, attrs, threshold, most, least, inclusive, merges, not merges)
+    return _merges(both) if merges else _labels(both)
+
+
+def _merges(rows: DataFrame) -> DataFrame:
+    return rows.where("n is null").select("component", "seq", "left", "right", "d", "size")
+
+
+def _labels(rows: DataFrame) -> DataFrame:
+    return rows.where("n is not null").select("n", "label")
+
+
+def _ward_rows(points: DataFrame, edges: DataFrame, attrs: list[str], threshold: float, most: float, least: float, inclusive: bool, merges: bool, labels: bool) -> DataFrame:
+    """The rows of the merge list, those of the labels (n, label; component too), or both, from one tree a component."""
     placed = cut(_components(points.select("n", *attrs), edges))
     inner = edges.join(placed.select(F.col("n").alias("n0"), F.col("component").alias("c")), "n0").select(F.col("c").alias("component"), "n0", "n1")
 
@@ -297,13 +319,16 @@ def constrained_ward(points: DataFrame, edges: DataFrame, attrs: list[str], thre
         p = p.sort_values("n").reset_index(drop=True)
         at = {v: i for i, v in enumerate(p["n"])}
         tree = ward_tree(list(p["n"]), p[attrs].to_numpy(float), [(at[a], at[b]) for a, b in zip(e["n0"], e["n1"]) if a != b])
+        long, out = "Int64", []
         if merges:
-            rows = [(p["component"][0], k, a, b, d, s) for k, (a, b, d, s) in enumerate(tree)]
-            return pd.DataFrame(rows, columns=["component", "seq", "left", "right", "d", "size"])
-        label = cut_tree(len(p), tree, threshold, most, least, inclusive)
-        return pd.DataFrame({"n": p["n"], "label": [p["n"][k] for k in label]})
-
-    schema = "component long, seq long, left long, right long, d double, size long" if merges else "n long, label long"
+            seq, (left, right, d, size) = range(len(tree)), list(zip(*tree)) or [[]] * 4
+            out.append(pd.DataFrame({"seq": pd.array(seq, long), "left": pd.array(left, long), "right": pd.array(right, long), "d": pd.array(d, "Float64"), "size": pd.array(size, long), "n": pd.array([None] * len(tree), long), "label": pd.array([None] * len(tree), long)}))
+        if labels:
+            label, none = p["n"].to_numpy()[cut_tree(len(p), tree, threshold, most, least, inclusive)], pd.array([None] * len(p), long)
+            out.append(pd.DataFrame({"seq": none, "left": none, "right": none, "d": none.astype("Float64"), "size": none, "n": pd.array(p["n"], long), "label": pd.array(label, long)}))
+        return pd.concat(out).assign(component=p["component"].iloc[0])
+
+    schema = "component long, seq long, left long, right long, d double, size long, n long, label long"
     return placed.groupBy("component").cogroup(inner.groupBy("component")).applyInPandas(work, schema)
 
 
@@ -384,24 +409,29 @@ def join_labels(points: DataFrame, labels: DataFrame) -> DataFrame:
     return checked_join(points, labels, "n")
 
 
-def smpc(points: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFrame], attrs: list[str], eps: float, threshold: float, most: float, group: str = "town") -> tuple[DataFrame, DataFrame]:
+def joining(points: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFrame], eps: float, group: str = "town") -> DataFrame:
+    """(n0, n1): the triangulation edges with a distance under eps, by which smpc joins sites."""
+    sides = cut(delaunay(points, eps, group).select("a", "b"))
+    return cut(pruned(sides, distances(sides) if callable(distances) else distances, eps).select(F.col("a").alias("n0"), F.col("b").alias("n1")))
+
+
+def smpc(points: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFrame], attrs: list[str], eps: float, threshold: float, most: float, group: str = "town", edges: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(merges, labels): spatially constrained clustering from end to end.
 
     points: siteId (long), town, xx, yy, attrs. distances: a, b, d, rounded to metres as they
     are stored, or a function that gives them for edges (a, b). Triangulation edges with a distance under eps join sites; each component's
-    Ward tree is cut. merges: seq, cid0, cid1, mcid, d, size: first a row a site with cid0
+    Ward tree is cut. edges: what joining() gives, if it's there already. merges: seq, cid0, cid1, mcid, d, size: first a row a site with cid0
     `0`, then the merges, component by component, whose ids are `m0`, `m1`, .. labels: n,
     label, ranked from 1 by the smallest site of the cluster.
     """
-    sides = cut(delaunay(points, eps, group).select("a", "b"))
-    tri = cut(pruned(sides, distances(sides) if callable(distances) else distances, eps))
-    edges = tri.select(F.col("a").alias("n0"), F.col("b").alias("n1"))
+    edges = joining(points, distances, eps, group) if edges is None else edges
     p = points.withColumnRenamed("siteId", "n")
-    tree = cut(constrained_ward(p, edges, attrs, threshold, most, merges=True))
+    rows = cut(_ward_rows(p, edges, attrs, threshold, most, 0, True, True, True))
+    tree, found = _merges(rows), _labels(rows)
     base = sequential_ids(p.select("n"), "n")
     singles = base.select("seq", F.lit("0").alias("cid0"), F.col("n").cast("string").alias("cid1"), F.col("n").cast("string").alias("mcid"), F.lit(0.0).alias("d"), F.lit(1).cast("long").alias("size"))
     number = sequential_ids(tree, "component", "k", then=("seq",))
-    members = cut(_components(p.select("n"), edges))
+    members = rows.where("n is not null").select("n", "component")
     inside = members.select("component", F.row_number().over(Window.partitionBy("component").orderBy("n")).alias("i"), "n").withColumn("i", F.col("i") - 1)
     sizes = members.groupBy("component").agg(F.count("*").alias("many"))
     t = number.join(sizes, "component")
@@ -413,7 +443,6 @@ def smpc(points: DataFrame, distances: DataFrame | Callable[[DataFrame], DataFra
         t = t.withColumn(f"id_{side}", F.coalesce(f"id_{side}", F.concat(F.lit("m"), F.col("first") + F.col(side) - F.col("many"))))
     n = points.count()
     made = t.select((F.col("k") + n).alias("seq"), F.col("id_left").alias("cid0"), F.col("id_right").alias("cid1"), F.concat(F.lit("m"), F.col("k")).alias("mcid"), "d", "size")
-    found = constrained_ward(p, edges, attrs, threshold, most)
     heads = sequential_ids(found.select("label").distinct(), "label").select("label", (F.col("seq") + 1).alias("rank"))
     return singles.unionByName(made), found.join(heads, "label").select("n", F.col("rank").alias("label"))
 

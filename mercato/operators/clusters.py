@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercato.functions.scalars import distance
-from mercato.operators.components import connected_components
+from mercato.operators.components import connected_components, join
 from mercato.operators.grid import cell, first_radius, grid_join
 from mercato.operators.ranking import sequential_ids
 from mercato.session import cut
@@ -343,9 +343,56 @@ def dbscan(pairs: DataFrame, points: DataFrame, samples: int = 3) -> DataFrame:
     return points.select("n").join(parts.unionByName(border), "n", "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
 
 
-def two_phase(points: DataFrame, pairs: DataFrame, edges: DataFrame, attrs: list[str], samples: int = 3, large: int = 20) -> DataFrame:
-    """(n, label, sub): density clusters, those of `large` or more members split by constrained merging."""
-    first = dbscan(pairs, points, samples)
+def dbscan_points(points: DataFrame, eps: float, samples: int = 3) -> DataFrame:
+    """dbscan of the points (siteId, xx, yy) within eps (inclusive) of each other; no pair is written or sent.
+
+    Points go to a tile and to those that they are twice eps from, where all neighbours are
+    known of what is eps around the tile. A tile gives, for its own cores and the cores near
+    them, a link to the least of those that it joins, and for each own point that is no core
+    its core neighbours, which are fewer than `samples`.
+    """
+    p = cut(points.select("siteId", F.col("xx").cast("double").alias("x"), F.col("yy").cast("double").alias("y")))
+    reach, side = 2 * eps, 2 * eps * SIDE
+    spots = lambda c: F.sequence(cell(F.col(c) - reach, side), cell(F.col(c) + reach, side))
+    tiled = p.withColumn("tx", F.explode(spots("x"))).withColumn("ty", F.explode(spots("y")))
+    tiled = tiled.withColumns({"x0": F.col("tx") * side, "y0": F.col("ty") * side}).withColumn("own", (cell(F.col("x"), side) == F.col("tx")) & (cell(F.col("y"), side) == F.col("ty")))
+
+    def work(t: pd.DataFrame) -> pd.DataFrame:
+        x, y, ids, own = (t[c].to_numpy() for c in ("x", "y", "siteId", "own"))
+        x0, y0 = t["x0"].iloc[0], t["y0"].iloc[0]
+        ask = np.flatnonzero((x >= x0 - eps) & (x <= x0 + side + eps) & (y >= y0 - eps) & (y <= y0 + side + eps))
+
+        def within(ask):
+            for rows, near in _gathered(x, y, ask, eps):
+                dx, dy = x[rows][:, None] - x[near], y[rows][:, None] - y[near]
+                yield rows, near, (near >= 0) & (near != rows[:, None]) & (np.sqrt(dx * dx + dy * dy) <= eps)
+
+        core = np.zeros(len(x), bool)
+        for rows, _, ok in within(ask):
+            core[rows] = ok.sum(1) + 1 >= samples
+        low, met, out = np.arange(len(x)), core & own, []
+        for rows, near, ok in within(np.flatnonzero(own)):
+            i, j = np.nonzero(ok & core[near])
+            u, v = rows[i], near[i, j]
+            inner = core[u]
+            met[v[inner]] = True
+            join(low, u[inner], v[inner])
+            out.append((ids[u[~inner]], ids[v[~inner]], np.zeros((~inner).sum(), bool)))
+        met = np.flatnonzero(met)
+        out.append((ids[met], ids[low[met]], np.ones(len(met), bool)))
+        return pd.DataFrame(dict(zip(("n0", "n1", "core"), (np.concatenate(z) for z in zip(*out)))))
+
+    kind = p.schema["siteId"].dataType.simpleString()
+    found = cut(tiled.groupBy("tx", "ty").applyInPandas(work, f"n0 {kind}, n1 {kind}, core boolean").distinct())
+    core = found.where("core")
+    parts = cut(_components(core.select(F.col("n0").alias("n")).distinct(), core.where("n0 <> n1")).select("n", F.col("component").alias("label")))
+    border = found.where("not core").join(parts.withColumnRenamed("n", "n1"), "n1").groupBy(F.col("n0").alias("n")).agg(F.min("label").alias("label"))
+    return p.select(F.col("siteId").alias("n")).join(parts.unionByName(border), "n", "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
+
+
+def two_phase(points: DataFrame, pairs: DataFrame | None, edges: DataFrame, attrs: list[str], samples: int = 3, large: int = 20, first: DataFrame | None = None) -> DataFrame:
+    """(n, label, sub): density clusters, those of `large` or more members split by constrained merging. first: the density clusters (n, label), if they are there already."""
+    first = dbscan(pairs, points, samples) if first is None else first
     big = first.where("label >= 0").groupBy("label").count().where(F.col("count") >= large).select("label")
     inside = first.join(big, "label")
     e = edges.join(inside.select(F.col("n").alias("n0"), F.col("label").alias("l0")), "n0").join(inside.select(F.col("n").alias("n1"), F.col("label").alias("l1")), "n1").where("l0 = l1").select("n0", "n1")

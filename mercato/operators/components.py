@@ -29,16 +29,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def least_reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, the smallest node reached by each) of undirected edges, in memory."""
     nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    u, v, low = at[: len(u)], at[len(u) :], np.arange(len(nodes))
+    low = np.arange(len(nodes))
+    join(low, at[: len(u)], at[len(u) :])
+    return nodes, nodes[low]
+
+
+def join(low: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Joins the components of u and v, place by place, in low: the least place of each one's component."""
     while True:
         a, b = low[u], low[v]
         open_ = a != b
         if not open_.any():
-            return nodes, nodes[low]
+            return
         u, v, a, b = u[open_], v[open_], a[open_], b[open_]
         np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
         while not np.array_equal(low, jump := low[low]):
-            low = jump
+            low[:] = jump
 
 
 def _in_one_task(edges: DataFrame) -> DataFrame:

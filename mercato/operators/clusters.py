@@ -135,6 +135,11 @@ def _wrapped(x: np.ndarray, y: np.ndarray, ask: np.ndarray, size: float) -> tupl
     return tuple(np.concatenate(z) if z else np.empty(0, np.int64) for z in (ends, others, closed))
 
 
+def _dealt(tiled: DataFrame, *keys: str) -> DataFrame:
+    """tiled by its keys in as many partitions as shuffles have: their bytes are few, but their work isn't, so they aren't to be merged."""
+    return tiled.repartition(int(tiled.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def _by_tiles(p: DataFrame, radius: float, halo: float, group: str) -> DataFrame:
     """(group, a, b), a < b: Delaunay edges in the box of +-radius with an end all of whose triangles are known from the points within a halo of it; and (group, a, a) for each other point.
 
@@ -163,7 +168,7 @@ def _by_tiles(p: DataFrame, radius: float, halo: float, group: str) -> DataFrame
         return pd.DataFrame({group: t[group].iloc[0], "a": a, "b": b})
 
     kinds = {c: p.schema[c].dataType.simpleString() for c in (group, "siteId")}
-    met = tiled.groupBy(group, "tx", "ty").applyInPandas(work, f"{group} {kinds[group]}, a {kinds['siteId']}, b {kinds['siteId']}")
+    met = _dealt(tiled, group, "tx", "ty").groupBy(group, "tx", "ty").applyInPandas(work, f"{group} {kinds[group]}, a {kinds['siteId']}, b {kinds['siteId']}")
     return met.select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -383,7 +388,7 @@ def dbscan_points(points: DataFrame, eps: float, samples: int = 3) -> DataFrame:
         return pd.DataFrame(dict(zip(("n0", "n1", "core"), (np.concatenate(z) for z in zip(*out)))))
 
     kind = p.schema["siteId"].dataType.simpleString()
-    found = cut(tiled.groupBy("tx", "ty").applyInPandas(work, f"n0 {kind}, n1 {kind}, core boolean").distinct())
+    found = cut(_dealt(tiled, "tx", "ty").groupBy("tx", "ty").applyInPandas(work, f"n0 {kind}, n1 {kind}, core boolean").distinct())
     core = found.where("core")
     parts = cut(_components(core.select(F.col("n0").alias("n")).distinct(), core.where("n0 <> n1")).select("n", F.col("component").alias("label")))
     border = found.where("not core").join(parts.withColumnRenamed("n", "n1"), "n1").groupBy(F.col("n0").alias("n")).agg(F.min("label").alias("label"))
